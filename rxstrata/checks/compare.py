@@ -9,7 +9,7 @@ import time
 from collections import Counter
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
 
 from rxstrata.checks.oracle import ORACLES
 from rxstrata.checks.queries import QUERIES
@@ -24,9 +24,8 @@ def oracle_connection(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def differences(spark: SparkSession, connection, name: str, folder: str) -> list[str]:
-    """What differs between a query and its oracle, at most a few rows of each side."""
-    got = QUERIES[name](spark, folder)
+def differences(got: DataFrame, connection, name: str) -> list[str]:
+    """What differs between a query's result and its oracle, a few rows of each side."""
     want = connection.execute(ORACLES[name])
     columns = [d[0] for d in want.description]
     order = sorted(columns)
@@ -58,7 +57,7 @@ def main(folder: str, names: list[str]) -> int:
         started = time.time()
         try:
             if name in ORACLES:
-                found = differences(spark, connection, name, folder)
+                found = differences(QUERIES[name](spark, folder), connection, name)
             else:
                 found = [] if QUERIES[name](spark, folder).count() else ["no rows"]
         except Exception as error:  # report every query, whatever one of them does

@@ -164,9 +164,7 @@ def src_03_validated_by_date(spark, folder):
 
 @query
 def src_04_latest_snapshot(spark, folder):
-    newest = files.latest_snapshot(
-        daily_validated(spark, folder), F.to_date("validation_timestamp")
-    )
+    newest = files.latest_snapshot(daily_validated(spark, folder), schemas.LAYERS["validated"])
     return newest.select("record_id", "validation_timestamp", "quality_score")
 
 
@@ -349,8 +347,7 @@ def jn_04_other_names(spark, folder):
 @query
 def jn_05_quartiles_on_rows(spark, folder):
     rows = batch(spark, folder)
-    positions = dist.distribution(rows, en.PRICE)
-    limits = en.price_quartiles(positions).select(F.struct("p25", "p50", "p75")).scalar()
+    limits = en.price_quartiles(dist.distribution(rows, en.PRICE)).select(F.struct("p25", "p50", "p75")).scalar()
     return rows.select("record_id", "price_usd", *[limits[q].alias(q) for q in ("p25", "p50", "p75")])
 
 
@@ -470,7 +467,7 @@ def ag_13_latest_date(spark, folder):
 @query
 def wn_01_efficacy_percentile(spark, folder):
     rows = batch(spark, folder)
-    positions = dist.distribution(rows, en.EFFICACY)
+    positions = dist.distribution(rows, en.EFFICACY).positions(en.EFFICACY)
     ranked = en.add_efficacy_percentile(rows, positions)
     return ranked.select("record_id", "drug_category", "efficacy_percentile")
 
@@ -478,7 +475,8 @@ def wn_01_efficacy_percentile(spark, folder):
 @query
 def wn_02_market_rank(spark, folder):
     rows = batch(spark, folder)
-    ranked = en.add_market_rank(rows, dist.distribution(rows, en.SHARE))
+    positions = dist.distribution(rows, en.SHARE).positions(en.SHARE)
+    ranked = en.add_market_rank(rows, positions)
     return ranked.select("record_id", "drug_category", "market_rank")
 
 
@@ -1093,8 +1091,19 @@ def st_10_streaming_validation(spark, folder):
 # --- contract marts -------------------------------------------------------------
 
 
+_staged: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _layer(spark: SparkSession, folder: str, name: str, build: Query) -> DataFrame:
+    """A mart layer, written on first use in a session."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _staged:
+        _staged[key] = stage(build(spark, folder), name)
+    return _staged[key]
+
+
 def _bronze(spark: SparkSession, folder: str) -> DataFrame:
-    return commerce.bronze_items(spark, folder)
+    return _layer(spark, folder, "bronze", commerce.bronze_items)
 
 
 def _lookups(bronze: DataFrame) -> DataFrame:
@@ -1117,8 +1126,8 @@ def _silver(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _gold_items(spark: SparkSession, folder: str) -> DataFrame:
-    month = F.substring("market_date", 1, 7)
-    return stage(_silver(spark, folder).withColumn("analysis_date", month), "silver")
+    items = _layer(spark, folder, "silver", _silver)
+    return items.withColumn("analysis_date", F.substring("market_date", 1, 7))
 
 
 @query
@@ -1156,5 +1165,5 @@ def ct_04_gold(spark, folder):
 def ag_12_group_medians(spark, folder):
     items = _gold_items(spark, folder)
     measure = dist.Measure("price", "unit_price", by=("generic_name_standardized",), keep_nulls=False)
-    middle = dist.medians(dist.distribution(items, measure), measure, "median_price")
+    middle = dist.distribution(items, measure).medians(measure, "median_price")
     return middle.withColumn("median_price", F.round("median_price", 4))

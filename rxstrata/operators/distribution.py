@@ -29,15 +29,94 @@ class Measure:
     keep_nulls: bool = True
 
 
-def distribution(df: DataFrame, *measures: Measure) -> DataFrame:
-    """One row per (measure, group, distinct value) with its position in the group.
+@dataclass(frozen=True)
+class Distribution:
+    """Counts per distinct value in even, ordered slices, and what precedes each slice.
 
-    Columns: ``measure``, the group columns (NULL for those a measure is not grouped
-    by), ``value``, ``n`` rows with this value, ``rows_before`` and ``values_before``
-    (rows and distinct values below it, NULL being lowest), ``rows_total`` and
-    ``values_total`` of the group. All measures share one pass over ``df``.
+    ``counts``: ``measure``, group columns, ``value``, ``n`` and ``slice``.
+    ``slices``: per measure, group and slice its ``rows`` and ``values``, those of the
+    group before it (``rows_offset``, ``values_offset``) and in all (``rows_total``,
+    ``values_total``). NULL is the lowest value.
     """
-    groups = list(dict.fromkeys(column for m in measures for column in m.by))
+
+    groups: tuple[str, ...]
+    counts: DataFrame
+    slices: DataFrame
+
+    def _placed(self, slices: DataFrame) -> DataFrame:
+        """Counts of the given slices with the rows and values before each."""
+        scope = ("measure", *self.groups, "slice")
+        sides = slices.select(
+            *[F.col(c).alias(f"_{c}") for c in scope],
+            *[c for c in slices.columns if c not in scope],
+        )
+        same = F.col("slice") == F.col("_slice")
+        for c in ("measure", *self.groups):
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        within = Window.partitionBy(*scope).orderBy("value")
+        before = within.rowsBetween(Window.unboundedPreceding, -1)
+        rows_in_slice = F.coalesce(F.sum("n").over(before), F.lit(0))
+        values_in_slice = F.row_number().over(within) - 1
+        return (
+            self.counts.join(sides, same)
+            .withColumn("rows_before", F.col("rows_offset") + rows_in_slice)
+            .withColumn("values_before", F.col("values_offset") + values_in_slice)
+        )
+
+    def _of(self, df: DataFrame, *measures: Measure) -> DataFrame:
+        return df.where(F.col("measure").isin(*[m.name for m in measures]))
+
+    def positions(self, *measures: Measure) -> DataFrame:
+        """One row per distinct value: ``rows_before`` and ``values_before`` it in its
+        group, ``rows_total`` and ``values_total`` of the group.
+
+        Written once, so that a join with it knows its size.
+        """
+        placed = self._placed(self._of(self.slices, *measures))
+        return stage(
+            placed.select(
+                "measure", *self.groups, "value", "n",
+                "rows_before", "values_before", "rows_total", "values_total",
+            ),
+            "positions",
+        )
+
+    def values_at(self, measure: Measure, **rows: Column) -> DataFrame:
+        """Per group, the value of the row at each 1-based position.
+
+        A position may use ``rows_total``. Only slices that hold one are looked into.
+        """
+        ends = F.col("rows_offset") + F.col("rows")
+        wanted = None
+        for row in rows.values():
+            here = (F.col("rows_offset") < row) & (row <= ends)
+            wanted = here if wanted is None else wanted | here
+        placed = self._placed(self._of(self.slices, measure).where(wanted))
+        first, last = F.col("rows_before"), F.col("rows_before") + F.col("n")
+        picks = [
+            F.max(F.when((first < row) & (row <= last), F.col("value"))).alias(name)
+            for name, row in rows.items()
+        ]
+        return placed.groupBy(*measure.by).agg(*picks)
+
+    def quantiles(self, measure: Measure, **at: float) -> DataFrame:
+        """Per group: the least value that a share ``at`` of the rows does not exceed."""
+        return self.values_at(
+            measure, **{name: F.ceil(F.col("rows_total") * F.lit(p)) for name, p in at.items()}
+        )
+
+    def medians(self, measure: Measure, alias: str) -> DataFrame:
+        """Per group: the middle value, or the mean of the two middle values."""
+        half = F.floor(F.col("rows_total") / 2)
+        middle = self.values_at(
+            measure, lower=F.floor((F.col("rows_total") + 1) / 2), upper=half + 1
+        )
+        return middle.select(*measure.by, ((F.col("lower") + F.col("upper")) / 2).alias(alias))
+
+
+def distribution(df: DataFrame, *measures: Measure) -> Distribution:
+    """The distributions of all ``measures``, in one pass over ``df``."""
+    groups = tuple(dict.fromkeys(column for m in measures for column in m.by))
     types = {name: df.schema[name].dataType for name in groups}
 
     def entry(m: Measure) -> Column:
@@ -54,45 +133,26 @@ def distribution(df: DataFrame, *measures: Measure) -> DataFrame:
             F.col("value").isNotNull() | ~F.col("measure").isin(*without_nulls)
         )
 
-    scope = ["measure", *groups]
+    scope = ("measure", *groups)
     counts = entries.groupBy(*scope, "value").agg(F.count(F.lit(1)).alias("n"))
     sliced = stage(
         counts.repartitionByRange(*scope, "value").withColumn("slice", F.spark_partition_id()),
-        "slices",
+        "counts",
     )
-
     group = Window.partitionBy(*scope)
     earlier = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = (
         sliced.groupBy(*scope, "slice")
         .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"))
         .select(
-            *[F.col(c).alias(f"_{c}") for c in (*scope, "slice")],
+            "*",
             F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_offset"),
             F.coalesce(F.sum("values").over(earlier), F.lit(0)).alias("values_offset"),
             F.sum("rows").over(group).alias("rows_total"),
             F.sum("values").over(group).alias("values_total"),
         )
     )
-
-    within = Window.partitionBy(*scope, "slice").orderBy("value")
-    before = within.rowsBetween(Window.unboundedPreceding, -1)
-    placed = sliced.select(
-        "*",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_in_slice"),
-        (F.row_number().over(within) - 1).alias("values_in_slice"),
-    )
-    same_slice = [placed[c].eqNullSafe(slices[f"_{c}"]) for c in (*scope, "slice")]
-    positions = placed.join(slices, same_slice).select(
-        *scope,
-        "value",
-        "n",
-        (F.col("rows_offset") + F.col("rows_in_slice")).alias("rows_before"),
-        (F.col("values_offset") + F.col("values_in_slice")).alias("values_before"),
-        "rows_total",
-        "values_total",
-    )
-    return stage(positions, "positions")
+    return Distribution(groups, sliced, stage(slices, "slices"))
 
 
 def percent_rank() -> Column:
@@ -125,27 +185,3 @@ def attach_position(
         condition = condition & F.col(g).eqNullSafe(F.col(f"__{g}"))
     joined = df.join(table, condition, "left")
     return joined.drop("__value", *[f"__{g}" for g in measure.by])
-
-
-def quantiles(positions: DataFrame, measure: Measure, at: dict[str, float]) -> DataFrame:
-    """Per group: the smallest value that a share ``at[name]`` of the rows does not exceed."""
-    reached = F.col("rows_before") + F.col("n")
-    picks = [
-        F.min(F.when(reached >= F.ceil(F.col("rows_total") * F.lit(p)), F.col("value"))).alias(name)
-        for name, p in at.items()
-    ]
-    return positions.where(F.col("measure") == measure.name).groupBy(*measure.by).agg(*picks)
-
-
-def medians(positions: DataFrame, measure: Measure, alias: str) -> DataFrame:
-    """Per group: the middle value, or the mean of the two middle values."""
-    reached = F.col("rows_before") + F.col("n")
-    middle = [
-        F.min(F.when(reached > F.floor((F.col("rows_total") - offset) / 2), F.col("value")))
-        for offset in (1, 0)
-    ]
-    return (
-        positions.where(F.col("measure") == measure.name)
-        .groupBy(*measure.by)
-        .agg(((middle[0] + middle[1]) / 2).alias(alias))
-    )

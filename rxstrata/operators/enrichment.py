@@ -12,6 +12,7 @@ from rxstrata import schemas
 from rxstrata.functions.columns import as_date, banded, either, first_match, lookup, start_of
 from rxstrata.functions.text import stable_suffix
 from rxstrata.operators import distribution as dist
+from rxstrata.session import stage
 
 Day = str | dt.date | Column
 
@@ -20,7 +21,7 @@ EFFICACY = dist.Measure("efficacy", "efficacy_score", by=("drug_category",))
 SHARE = dist.Measure("share", "market_share", by=("drug_category",))
 
 
-def measure_batch(validated: DataFrame) -> DataFrame:
+def measure_batch(validated: DataFrame) -> dist.Distribution:
     """Price, efficacy and share distributions of the batch, in one pass over it."""
     return dist.distribution(validated, PRICE, EFFICACY, SHARE)
 
@@ -49,9 +50,13 @@ def add_patent_status(df: DataFrame, as_of: Day) -> DataFrame:
     return df.withColumn("patent_status", banded(days_left, V.PATENT_BANDS, V.PATENT_BEYOND))
 
 
-def price_quartiles(positions: DataFrame) -> DataFrame:
-    """One row with the exact quartiles ``p25``, ``p50`` and ``p75`` of the price."""
-    return dist.quantiles(positions, PRICE, {f"p{int(100 * q)}": q for q in V.QUARTILES})
+def price_quartiles(measured: dist.Distribution) -> DataFrame:
+    """One row with the exact quartiles ``p25``, ``p50`` and ``p75`` of the price.
+
+    Written, so that it is computed once however often a plan refers to it.
+    """
+    quartiles = measured.quantiles(PRICE, **{f"p{int(100 * q)}": q for q in V.QUARTILES})
+    return stage(quartiles, "quartiles")
 
 
 def approximate_quartiles(df: DataFrame, accuracy: int = 10000) -> DataFrame:
@@ -71,8 +76,8 @@ def add_price_tier(df: DataFrame, quartiles: DataFrame) -> DataFrame:
 
 
 def add_development_stage(df: DataFrame) -> DataFrame:
-    stage = lookup(F.col("clinical_trial_phase"), V.STAGE_BY_PHASE, V.STAGE_UNKNOWN)
-    return df.withColumn("development_stage", stage)
+    by_phase = lookup(F.col("clinical_trial_phase"), V.STAGE_BY_PHASE, V.STAGE_UNKNOWN)
+    return df.withColumn("development_stage", by_phase)
 
 
 def add_region(df: DataFrame) -> DataFrame:
@@ -190,19 +195,18 @@ def enrich(
     validated: DataFrame,
     as_of: Day,
     run_at: Column | None = None,
-    positions: DataFrame | None = None,
 ) -> DataFrame:
     """Enriched records of the batch.
 
     ``validated`` is read more than once, so pass a written table.
     """
     batch = enrichable(validated)
-    if positions is None:
-        positions = measure_batch(batch)
+    measured = measure_batch(batch)
+    positions = measured.positions(EFFICACY, SHARE)
     enriched = (
         batch.transform(add_classification)
         .transform(add_patent_status, as_of)
-        .transform(add_price_tier, price_quartiles(positions))
+        .transform(add_price_tier, price_quartiles(measured))
         .transform(add_development_stage)
         .transform(add_region)
         .transform(add_efficacy_percentile, positions)

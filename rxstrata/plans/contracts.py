@@ -146,7 +146,7 @@ def gold(items: DataFrame, analysed_at: Column) -> DataFrame:
         exact_mean("data_quality_score").alias("quality_score_avg"),
     )
     measure = dist.Measure("price", "unit_price", by=GOLD_KEYS, keep_nulls=False)
-    middle = dist.medians(dist.distribution(items, measure), measure, "median_price")
+    middle = dist.distribution(items, measure).medians(measure, "median_price")
     mart = join_groups(groups, middle, GOLD_KEYS)
     on_date = Window.partitionBy("analysis_date")
     in_series = Window.partitionBy(*GOLD_KEYS[1:]).orderBy("analysis_date")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxstrata.functions.columns import as_date, exact_mean, exact_sum, on_day
+from rxstrata.functions.columns import as_date, exact_mean, exact_sum
 from rxstrata.plans import views
 from rxstrata.plans.views import Day, enriched_on
+from rxstrata.schemas import LAYERS
+from rxstrata.sources.files import rows_on
 
 
 def _by_revenue() -> list[Column]:
@@ -141,7 +143,7 @@ def top_revenue_enrichment(enriched: DataFrame, as_of: Day, k: int = 10) -> Data
 
 def validation_today(validated: DataFrame, as_of: Day) -> DataFrame:
     """The quality summary of one date; the filter is applied before aggregating."""
-    return views.data_quality_summary(validated.where(on_day("validation_timestamp", as_of)))
+    return views.data_quality_summary(views.validated_on(validated, as_of))
 
 
 def top_errors(validated: DataFrame, as_of: Day, k: int = 10) -> DataFrame:
@@ -154,7 +156,7 @@ def top_errors(validated: DataFrame, as_of: Day, k: int = 10) -> DataFrame:
 
 def raw_check(raw: DataFrame, as_of: Day | None = None) -> DataFrame:
     """Counts of records, drugs, manufacturers and categories, of one date or of all."""
-    rows = raw if as_of is None else raw.where(on_day("ingestion_timestamp", as_of))
+    rows = raw if as_of is None else rows_on(raw, LAYERS["raw"], as_of)
     return rows.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_distinct("drug_name").alias("unique_drugs"),

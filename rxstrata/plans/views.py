@@ -18,12 +18,12 @@ from rxstrata.functions.columns import (
     exact_mean,
     exact_sum,
     first_match,
-    on_day,
     ratio,
     start_of,
 )
 from rxstrata.operators.topk import join_groups, top_k_arrays
-from rxstrata.sources.files import latest_snapshot
+from rxstrata.schemas import LAYERS
+from rxstrata.sources.files import latest_snapshot, rows_on
 
 Day = str | dt.date | Column
 
@@ -47,8 +47,12 @@ def _share(condition: Column, digits: int | None = None) -> Column:
     return ratio(count_where(condition), _rows(), digits)
 
 
+def validated_on(validated: DataFrame, as_of: Day) -> DataFrame:
+    return rows_on(validated, LAYERS["validated"], as_of)
+
+
 def enriched_on(enriched: DataFrame, as_of: Day) -> DataFrame:
-    return enriched.where(on_day("enrichment_timestamp", as_of))
+    return rows_on(enriched, LAYERS["enriched"], as_of)
 
 
 def data_quality_summary(validated: DataFrame) -> DataFrame:
@@ -70,7 +74,7 @@ def data_quality_summary(validated: DataFrame) -> DataFrame:
 
 def common_validation_errors(validated: DataFrame, as_of: Day) -> DataFrame:
     """How often each error occurs, per record of the date."""
-    today = validated.where(on_day("validation_timestamp", as_of))
+    today = validated_on(validated, as_of)
     records = today.select(_rows().alias("n")).scalar()
     return (
         today.select(F.explode("validation_errors").alias("error"))
@@ -177,7 +181,7 @@ def market_intelligence(enriched: DataFrame) -> DataFrame:
 
     Rank and total are windows over the aggregated groups only, one row per class.
     """
-    current = latest_snapshot(enriched, F.to_date("enrichment_timestamp"))
+    current = latest_snapshot(enriched, LAYERS["enriched"])
     groups = current.groupBy("drug_category", "therapeutic_class").agg(
         F.count_distinct("drug_name").alias("total_drugs"),
         exact_sum("predicted_revenue", 2).alias("total_revenue"),

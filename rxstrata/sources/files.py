@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rxstrata import schemas
-from rxstrata.functions.columns import as_date
+from rxstrata.functions.columns import as_date, on_day
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -36,7 +36,8 @@ def read_layer(
     stored = list(layer.schema.fields)
     if layer.partition not in layer.schema.names:
         stored.append(T.StructField(layer.partition, schemas.DATE))
-    df = spark.read.schema(T.StructType(stored)).parquet(path)
+    names = [field.name for field in stored]
+    df = spark.read.schema(T.StructType(stored)).parquet(path).select(*names)
     return df if day is None else df.where(F.col(layer.partition) == as_date(day))
 
 
@@ -50,8 +51,21 @@ def union_evolving(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def latest_snapshot(df: DataFrame, day: Column) -> DataFrame:
-    """Rows of the greatest ``day``, found by a scalar subquery."""
+def rows_on(df: DataFrame, layer: schemas.Layer, day: str | dt.date | Column) -> DataFrame:
+    """Rows of one date: by the date partition where ``df`` has it, else by timestamp."""
+    if layer.partition in df.columns:
+        return df.where(F.col(layer.partition) == as_date(day))
+    return df.where(on_day(layer.dated_by, day))
+
+
+def latest_snapshot(df: DataFrame, layer: schemas.Layer) -> DataFrame:
+    """Rows of the last date, found by a scalar subquery.
+
+    On a stored layer the subquery reads no column but the partition's, and its
+    result prunes the scan.
+    """
+    stored = layer.partition in df.columns
+    day = F.col(layer.partition) if stored else F.to_date(layer.dated_by)
     newest = df.select(F.max(day).alias("day")).scalar()
     return df.where(day == newest)
 
