@@ -25,7 +25,7 @@ HEADLINE = [
     "va_11_validate",
     "vw_01_data_quality_summary",
     "vw_02_common_errors",
-    "vw_06_pipeline_monitor",
+    "vw_06_stage_monitor",
     "wn_01_efficacy_percentile",
     "ag_09_price_quartiles",
     "en_17_enrich",

@@ -746,6 +746,9 @@ ORACLES |= {
     ),
 }
 
+for _key in ("ud_04_drug_risk", "ud_06_market_position", "ud_07_record_quality"):
+    ORACLES[f"{_key}_sql"] = ORACLES[_key]
+
 # --- views ----------------------------------------------------------------------
 
 _QUALITY_BY_DAY = f"""select {day('ingestion_timestamp')} as validation_date, {_TOTALS},
@@ -802,7 +805,7 @@ ORACLES |= {
           {top_list("drug_name || '/' || market_position", 'rn', 5)} as top_drugs
           from {_TOP_SHARE.format(by='drug_category, region')} group by drug_category, region""",
     ),
-    "vw_04_pipeline_performance": over(
+    "vw_04_stage_performance": over(
         "enriched",
         f"""select development_stage, count(*) as drug_count,
           {mean('efficacy_score', 3)} as avg_efficacy, {mean('safety_score', 3)} as avg_safety,
@@ -818,7 +821,7 @@ ORACLES |= {
           {top_list('drug_name', 'rn', 10)} as highest_risk_drugs
           from {_TOP_RATE} group by risk_category, safety_rating""",
     ),
-    "vw_06_pipeline_monitor": over(
+    "vw_06_stage_monitor": over(
         "scored",
         f"select *, '2001-06-01 00:00:00' as last_updated from ({_MONITOR} 30)",
     ),
@@ -847,7 +850,7 @@ _DEMAND_3 = f"{r('demand_score', 3)} as demand_score"
 
 ORACLES |= {
     "dq_01_executive_summary": over("enriched", _EXECUTIVE),
-    "dq_02_recent_pipeline": over("scored", f"{_MONITOR} 7"),
+    "dq_02_recent_stages": over("scored", f"{_MONITOR} 7"),
     "dq_03_top_revenue": _top_revenue(
         f"""drug_name, drug_category, manufacturer, market_position, {_REVENUE}, {_DEMAND_3},
         risk_category""",
@@ -878,7 +881,7 @@ ORACLES |= {
           {mean('efficacy_score', 3)} as avg_efficacy,
           {mean('supply_risk_score', 3)} as avg_supply_risk from enriched group by region""",
     ),
-    "dq_08_pipeline_today": over(
+    "dq_08_stages_today": over(
         "scored",
         f"""select stage, record_count, {r('avg_quality_score', 3)} as quality_score,
           {r('pass_rate * 100', 1)} as pass_rate_pct from ({_MONITOR} 30)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,14 +76,30 @@ def query(fn: Query) -> Query:
 _stores: dict[tuple[str, str], runs.Store] = {}
 
 
+def remembered(build: Query) -> Query:
+    """Build a plan once per session and folder: reading table schemas takes jobs."""
+    plans: dict[tuple[str, str], DataFrame] = {}
+
+    def get(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in plans:
+            plans[key] = build(spark, folder)
+        return plans[key]
+
+    return get
+
+
+@remembered
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     return commerce.raw_records(spark, folder)
 
 
+@remembered
 def flagged(spark: SparkSession, folder: str) -> DataFrame:
     return va.flag_records(raw(spark, folder), AS_OF)
 
 
+@remembered
 def daily_validated(spark: SparkSession, folder: str) -> DataFrame:
     return va.validate(raw(spark, folder), AS_OF, F.col("ingestion_timestamp"))
 
@@ -93,29 +110,32 @@ def daily_enriched(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumnRenamed("validation_timestamp", "enrichment_timestamp")
 
 
+def _stored(layers: runs.Store, name: str) -> DataFrame | None:
+    """A layer of the day, or None where its folder is not (or no longer) there."""
+    try:
+        return layers.read(name, AS_OF)
+    except AnalysisException:
+        return None
+
+
 def store(spark: SparkSession, folder: str) -> runs.Store:
     """The batch layers: validated on first use, enriched by ``enriched``."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _stores:
+    if key not in _stores or _stored(_stores[key], "validated") is None:
         made = runs.Store(spark, staging_path(spark, "store"))
         runs.run_validation(made, AS_OF, raw(spark, folder))
         _stores[key] = made
     return _stores[key]
 
 
-_enriched: set[tuple[str, str]] = set()
-
-
 def validated(spark: SparkSession, folder: str) -> DataFrame:
     return store(spark, folder).read("validated", AS_OF)
 
 
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, folder)
     layers = store(spark, folder)
-    if key not in _enriched:
+    if _stored(layers, "enriched") is None:
         runs.run_enrichment(layers, AS_OF)
-        _enriched.add(key)
     return layers.read("enriched", AS_OF)
 
 
@@ -837,6 +857,13 @@ def ud_04_drug_risk(spark, folder):
     return validated(spark, folder).select("record_id", risk.alias("risk"))
 
 
+@query
+def ud_04_drug_risk_sql(spark, folder):
+    classifiers.register_sql_functions(spark)
+    risk = F.expr("classify_drug_risk(adverse_event_rate, safety_score, patient_count)")
+    return validated(spark, folder).select("record_id", risk.alias("risk"))
+
+
 @query
 def ud_05_price_tier(spark, folder):
     tier = classifiers.price_tier_fixed(F.col("price") / 100)
@@ -856,6 +883,18 @@ def ud_06_market_position(spark, folder):
     return raw(spark, folder).select("record_id", position.alias("position"))
 
 
+@query
+def ud_06_market_position_sql(spark, folder):
+    position = "calculate_market_position(market_share, efficacy_score, price / 100)"
+    return _with_sql_functions(spark, folder, f"{position} AS position")
+
+
+@query
+def ud_07_record_quality_sql(spark, folder):
+    record = "struct(drug_name, manufacturer, drug_category, price, efficacy_score, safety_score)"
+    return _with_sql_functions(spark, folder, f"calculate_quality_score({record}) AS quality")
+
+
 @query
 def ud_07_record_quality(spark, folder):
     record = F.struct(
@@ -885,7 +924,7 @@ def vw_03_market_analysis(spark, folder):
 
 
 @query
-def vw_04_pipeline_performance(spark, folder):
+def vw_04_stage_performance(spark, folder):
     return views.pipeline_performance(enriched(spark, folder), AS_OF)
 
 
@@ -901,7 +940,7 @@ def monitor(spark: SparkSession, folder: str, as_of: str = AS_OF) -> DataFrame:
 
 
 @query
-def vw_06_pipeline_monitor(spark, folder):
+def vw_06_stage_monitor(spark, folder):
     return monitor(spark, folder)
 
 
@@ -930,7 +969,7 @@ def dq_01_executive_summary(spark, folder):
 
 
 @query
-def dq_02_recent_pipeline(spark, folder):
+def dq_02_recent_stages(spark, folder):
     return reports.recent_pipeline_performance(monitor(spark, folder), AS_OF)
 
 
@@ -960,7 +999,7 @@ def dq_07_regional_performance(spark, folder):
 
 
 @query
-def dq_08_pipeline_today(spark, folder):
+def dq_08_stages_today(spark, folder):
     return reports.pipeline_today(monitor(spark, folder), AS_OF)
 
 
@@ -1091,15 +1130,22 @@ def st_10_streaming_validation(spark, folder):
 # --- contract marts -------------------------------------------------------------
 
 
-_staged: dict[tuple[str, str, str], DataFrame] = {}
+_staged: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
 def _layer(spark: SparkSession, folder: str, name: str, build: Query) -> DataFrame:
     """A mart layer, written on first use in a session."""
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _staged:
-        _staged[key] = stage(build(spark, folder), name)
-    return _staged[key]
+    if key in _staged:
+        path, schema = _staged[key]
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException:
+            pass  # the folder has been cleared: build it again
+    rows, path = build(spark, folder), staging_path(spark, name)
+    rows.write.parquet(path)
+    _staged[key] = (path, rows.schema)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _bronze(spark: SparkSession, folder: str) -> DataFrame:

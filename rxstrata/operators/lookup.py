@@ -7,8 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxstrata.session import stage
-
 
 def constant_table(spark: SparkSession, table: Mapping[str, str], key: str, value: str) -> DataFrame:
     """A two-column table from a constant mapping.
@@ -39,8 +37,3 @@ def attach(
     joined = df.join(renamed, F.col(on) == F.col("__key"), "left")
     found = F.coalesce("__value", F.col(on)) if keep_unmatched else F.col("__value")
     return joined.withColumn(alias, found).drop("__key", "__value")
-
-
-def staged_mapping(table: DataFrame, name: str) -> DataFrame:
-    """A computed mapping written once, so that joins with it know its size."""
-    return stage(table, name)

@@ -23,7 +23,7 @@ from rxstrata.functions.columns import (
 )
 from rxstrata.operators.topk import join_groups, top_k_arrays
 from rxstrata.schemas import LAYERS
-from rxstrata.sources.files import latest_snapshot, rows_on
+from rxstrata.sources.files import latest_snapshot, rows_on, rows_since
 
 Day = str | dt.date | Column
 
@@ -136,34 +136,29 @@ def pipeline_performance_monitor(
 ) -> DataFrame:
     """Records, mean score and pass rate per date and stage, for the last ``days``.
 
-    The date filter is on the timestamps, below the aggregates, where it prunes.
+    The date filter is below the aggregates, where it prunes.
     """
-    since = start_of(F.date_sub(as_date(as_of), days))
-
-    def stage(
-        df: DataFrame, stamp: str, name: str, score: Column, passed: Column
-    ) -> DataFrame:
-        return (
-            df.where(F.col(stamp) >= since)
-            .groupBy(F.to_date(stamp).alias("process_date"))
-            .agg(
-                F.lit(name).alias("stage"),
-                _rows().alias("record_count"),
-                score.alias("avg_quality_score"),
-                passed.alias("pass_rate"),
-            )
+    since = F.date_sub(as_date(as_of), days)
+
+    def stage(df: DataFrame, layer: str, name: str, score: Column, passed: Column) -> DataFrame:
+        rows = rows_since(df, LAYERS[layer], since)
+        return rows.groupBy(F.to_date(LAYERS[layer].dated_by).alias("process_date")).agg(
+            F.lit(name).alias("stage"),
+            _rows().alias("record_count"),
+            score.alias("avg_quality_score"),
+            passed.alias("pass_rate"),
         )
 
     nothing = F.lit(None).cast("double")
     confident = F.col("confidence_score") > V.CONFIDENT_ABOVE
     stages = [
-        stage(raw, "ingestion_timestamp", V.STAGE_ORDER[0], nothing, nothing),
+        stage(raw, "raw", V.STAGE_ORDER[0], nothing, nothing),
         stage(
-            validated, "validation_timestamp", V.STAGE_ORDER[1],
+            validated, "validated", V.STAGE_ORDER[1],
             exact_mean("quality_score", 3), _share(F.col("validation_status") == V.PASSED, 3),
         ),
         stage(
-            enriched, "enrichment_timestamp", V.STAGE_ORDER[2],
+            enriched, "enriched", V.STAGE_ORDER[2],
             exact_mean("confidence_score", 3), _share(confident, 3),
         ),
     ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rxstrata import schemas
-from rxstrata.functions.columns import as_date, on_day
+from rxstrata.functions.columns import as_date, on_day, start_of
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -58,6 +58,13 @@ def rows_on(df: DataFrame, layer: schemas.Layer, day: str | dt.date | Column) ->
     return df.where(on_day(layer.dated_by, day))
 
 
+def rows_since(df: DataFrame, layer: schemas.Layer, day: str | dt.date | Column) -> DataFrame:
+    """Rows from one date on, by the date partition where ``df`` has it."""
+    if layer.partition in df.columns:
+        return df.where(F.col(layer.partition) >= as_date(day))
+    return df.where(F.col(layer.dated_by) >= start_of(day))
+
+
 def latest_snapshot(df: DataFrame, layer: schemas.Layer) -> DataFrame:
     """Rows of the last date, found by a scalar subquery.
 
