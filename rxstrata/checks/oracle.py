@@ -654,7 +654,7 @@ for _key, _columns in {
     "en_11_market_position": "market_position",
     "en_13_demand_score": "demand_score",
     "en_14_supply_risk": "supply_risk_score",
-    "en_15_similar_drugs": "0 as similar",
+    "en_15_similar_drugs": "cast(0 as bigint) as similar",
     "en_16_confidence": "confidence_score",
 }.items():
     ORACLES[_key] = over("enriched", f"select record_id, {_columns} from enriched")
@@ -1001,7 +1001,7 @@ BRONZE = f"""bronze as (select
   {ROUTE} as route,
   {STRENGTH} as strength,
   case when l_orderkey % 29 <> 0 then {r('l_extendedprice / l_quantity', 2)} end as unit_price,
-  cast(trunc(l_quantity) as integer) as package_size,
+  cast(trunc(l_quantity) as bigint) as package_size,
   {day('l_shipdate')} as market_date
   from {LINES})"""
 

@@ -46,7 +46,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Dates and timestamps as ISO text, arrays of text joined: comparable anywhere."""
+    """Dates as ISO text, arrays of text joined, integers long: comparable anywhere."""
 
     def shown(field: T.StructField) -> Column:
         column, kind = F.col(f"`{field.name}`"), field.dataType
@@ -56,6 +56,8 @@ def plain(df: DataFrame) -> DataFrame:
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
             column = F.array_join(column, "|")
+        elif isinstance(kind, T.IntegerType):
+            column = column.cast("long")
         return column.alias(field.name)
 
     return df.select(*[shown(f) for f in df.schema.fields])
