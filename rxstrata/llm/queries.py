@@ -7,13 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxstrata.llm import exact_dedup, license_scan, mixing, quality_rules
+from rxstrata.llm import bpe, classifier, exact_dedup, license_scan, mixing, quality_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
+    """Path of a public tokenizer's file, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"), vocabulary(), pattern())
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
@@ -30,6 +47,18 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = classifier.fit(docs, table(spark, folder, "labels"))
+    scored = classifier.with_scores(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select(
@@ -42,5 +71,13 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op4_license_scan, op6_quality_rules, op10_mixing)
+    f.__name__: f
+    for f in (
+        op2_bpe,
+        op3_exact_dedup,
+        op4_license_scan,
+        op6_quality_rules,
+        op8_quality_classifier,
+        op10_mixing,
+    )
 }
