@@ -125,6 +125,20 @@ FROM t LEFT JOIN per USING (doc_id)
 """
 
 
+OP9 = """
+WITH t AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM t
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM g
+"""
+
+
 def _license_rows() -> str:
     """The templates as SQL values."""
     from rxstrata.llm.license_scan import TEMPLATES
@@ -145,5 +159,6 @@ ORACLES = {
     "op3_exact_dedup": OP3,
     "op4_license_scan": OP4.replace("@templates@", _license_rows()),
     "op6_quality_rules": OP6,
+    "op9_warc": OP9,
     "op10_mixing": OP10,
 }

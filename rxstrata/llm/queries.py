@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxstrata.llm import bpe, classifier, exact_dedup, license_scan, mixing, quality_rules
+from rxstrata.llm import bpe, classifier, exact_dedup, license_scan, mixing, quality_rules, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return token_files.written_and_read(docs, vocabulary("byte_bpe_50k.json"))
+
+
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = classifier.fit(docs, table(spark, folder, "labels"))
@@ -59,6 +64,10 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read(warc.archive(table(spark, folder, "pages")))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select(
@@ -77,7 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_exact_dedup,
         op4_license_scan,
         op6_quality_rules,
+        op7_token_files,
         op8_quality_classifier,
+        op9_warc,
         op10_mixing,
     )
 }
