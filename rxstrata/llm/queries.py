@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxstrata.llm import bpe, classifier, exact_dedup, license_scan, mixing, quality_rules, token_files, warc
+from rxstrata.llm import bpe, classifier, exact_dedup, license_scan, mixing, ngram_join, quality_rules, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, folder, "documents")).drop("node")
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary(), pattern())
 
@@ -82,6 +86,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_ngram_join,
         op2_bpe,
         op3_exact_dedup,
         op4_license_scan,
