@@ -8,23 +8,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rxstrata.llm import exact_dedup, mixing
+from rxstrata.llm import bpe, classifier, exact_dedup, mixing, ngram_join
+from rxstrata.llm.queries import pattern, table, vocabulary
 from rxstrata.session import stage as written
 
+LEAST_QUALITY = 0.3
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below the threshold go."""
+    model = classifier.fit(docs, table(spark, sf_dir, "labels"))
+    scored = classifier.with_scores(docs, model, score_col="_score")
+    return scored.filter(f"_score >= {LEAST_QUALITY}").drop("_score")
+
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts only the row with the largest doc_id stays."""
     return exact_dedup.drop_copies(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of similar documents the one with the smallest doc_id stays."""
+    return ngram_join.drop_near_copies(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix of sources takes it."""
     return mixing.repeated(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of ids and of what they decode to."""
+    return bpe.round_trip(docs, vocabulary(), pattern())
+
+
 STAGES = [
+    ("quality_classifier", good_quality),
     ("exact_dedup", without_copies),
+    ("ngram_jaccard_join", without_near_copies),
     ("mixing", mixed),
+    ("byte_bpe", tokens),
 ]
 
 #: The classifier is a trained model and has no SQL; tests compare with brute force.
@@ -33,7 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = written(step(spark, docs, sf_dir), name)
     return docs

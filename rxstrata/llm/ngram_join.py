@@ -29,8 +29,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rxstrata.llm.bpe import slices, text_sizes
 from rxstrata.llm.components import components
@@ -552,3 +553,47 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         "node",
     )
+
+
+def with_nodes(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """All columns of ``docs`` in ``_doc`` and the set's node in ``_node``."""
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(text_col).alias("_text")
+    )
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text_sizes(batch.column(1))):
+                grams, at = text_sets(part.column(1), words)
+                nodes = [node_of(grams[a:b]) if b > a else None for a, b in zip(at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(nodes, pa.int64())], names=["_doc", "_node"]
+                )
+
+    schema = T.StructType([packed.schema["_doc"], T.StructField("_node", T.LongType())])
+    return packed.mapInArrow(run, schema)
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One document of each component stays, with all its columns: the smallest id.
+
+    Documents without words all stay. Of repeated rows with that id and the same set the
+    one with the smallest hash of all columns stays.
+    """
+    named = join_components(docs, id_col, text_col, words, percent)
+    first = named.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keepers = (
+        first.filter("node IS NOT NULL")
+        .groupBy("component_id")
+        .agg(F.min("node").alias("node"))
+        .unionByName(first.filter("node IS NULL").select("component_id", "node").distinct())
+    )
+    marked = with_nodes(docs, text_col, words).withColumn("_id", F.col("_doc").getField(id_col).cast("long"))
+    kept = marked.join(
+        keepers,
+        F.col("_id").eqNullSafe(F.col("component_id")) & F.col("_node").eqNullSafe(F.col("node")),
+        "left_semi",
+    )
+    same = Window.partitionBy("_id", "_node").orderBy(F.xxhash64("_doc"))
+    once = kept.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1 OR _node IS NULL")
+    return once.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])

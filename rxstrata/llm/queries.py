@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxstrata.llm import bpe, classifier, exact_dedup, license_scan, mixing, ngram_join, quality_rules, token_files, warc
+from rxstrata.llm import (
+    bpe,
+    classifier,
+    exact_dedup,
+    license_scan,
+    mixing,
+    ngram_join,
+    quality_rules,
+    token_counts,
+    token_files,
+    warc,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +54,13 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents")).drop("matches")
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document before and after its repeated lines are deleted."""
+    return token_counts.count_edited(
+        table(spark, folder, "documents"), vocabulary(), pattern(), edits=token_counts.cleaning_edits
+    )
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.judged(quality_rules.ledger(table(spark, folder, "documents")))
     return rows.select(
@@ -90,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_bpe,
         op3_exact_dedup,
         op4_license_scan,
+        op5_token_counts,
         op6_quality_rules,
         op7_token_files,
         op8_quality_classifier,
