@@ -185,7 +185,7 @@ class Coder:
             self.words.clear()
         known = self.words
         split = [self.split(t) if t else [] for t in texts]
-        self._learn({w for words in split for w in words if w not in known})
+        self._learn(set().union(*split).difference(known))
         return [
             np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<i4") for words in split
         ]

@@ -35,7 +35,7 @@ HEADER = struct.Struct("<II")
 
 END_ID = 0
 FRAME_BYTES = 1 << 20
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 
 
 @functools.cache
@@ -86,8 +86,11 @@ class PieceEncoder:
             self.known.clear()
         known = self.known
         pieces = [None if t and self.irregular(t) else (t or "").split(" ") for t in texts]
-        new = dict.fromkeys(p for ps in pieces if ps for p in ps[1:] if p not in known)
-        self._learn(list(new))
+        new: set[str] = set()
+        for ps in pieces:
+            if ps:
+                new.update(ps[1:])
+        self._learn(list(new.difference(known)))
         out = []
         for text, ps in zip(texts, pieces, strict=True):
             if not text:
