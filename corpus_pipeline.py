@@ -18,8 +18,7 @@ LEAST_QUALITY = 0.3
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below the threshold go."""
     model = classifier.fit(docs, table(spark, sf_dir, "labels"))
-    scored = classifier.with_scores(docs, model, score_col="_score")
-    return scored.filter(f"_score >= {LEAST_QUALITY}").drop("_score")
+    return classifier.keep_good(docs, model, LEAST_QUALITY)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -180,3 +180,11 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col
     return docs.mapInArrow(run, schema)
 
 
+
+
+def keep_good(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows that score ``least`` or more, with their own columns."""
+    score = "_score"
+    while score in docs.columns:
+        score += "_"
+    return with_scores(docs, model, text_col, score).filter(F.col(score) >= least).drop(score)
