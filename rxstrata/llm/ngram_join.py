@@ -289,7 +289,7 @@ def shared_keys(docs: DataFrame, text_col: str = "text", words: int = WORDS, per
                     b - a,
                     (central << 48) | (int(nodes[i]) & (2**48 - 1)),
                     pairs * (pairs - 1) / 2,
-                    float(np.exp2(own[:single] / 4).sum()),
+                    single + float(own[:single].sum() / 4),
                     keys[a:b].astype("<u8").tobytes(),
                 )
             )
@@ -331,7 +331,9 @@ def prefix(n: int, c: int, share: int, percent: int = PERCENT) -> int:
 def boundary(sets: DataFrame) -> int:
     """The largest size of a light set, at which the two costs together are least.
 
-    Costs are summed per eighth of a power of two of the size: a few hundred rows.
+    A light set costs a row per subset. A heavy one costs, per inverted list, its own row
+    and the logarithm of the list's length: lists are combined towards their centre, and
+    nobody is paired with everyone in them. Costs are summed per eighth of a power of two of the size: a few hundred rows.
     """
     sums = sorted(
         tuple(r)
