@@ -20,18 +20,18 @@ def r(x: str, digits: int) -> str:
 
 
 def _units(x: str) -> str:
-    return f"sum(cast(cast(cast({x} as varchar) as decimal(28,8)) * 100000000 as hugeint))"
+    return f"sum(cast(cast(cast({x} as varchar) as decimal(38,12)) * 1000000000000 as hugeint))"
 
 
 def mean(x: str, digits: int) -> str:
     scale = 10**digits
-    top = f"2 * {_units(x)} * {scale} + count({x}) * 100000000"
-    return f"cast(({top}) // nullif(2 * count({x}) * 100000000, 0) as double) / {scale}e0"
+    top = f"2 * {_units(x)} * {scale} + count({x}) * 1000000000000"
+    return f"cast(({top}) // nullif(2 * count({x}) * 1000000000000, 0) as double) / {scale}e0"
 
 
 def total(x: str, digits: int) -> str:
     scale = 10**digits
-    return f"cast((2 * {_units(x)} * {scale} + 100000000) // 200000000 as double) / {scale}e0"
+    return f"cast((2 * {_units(x)} * {scale} + 1000000000000) // 2000000000000 as double) / {scale}e0"
 
 
 def share(condition: str, digits: int) -> str:
@@ -123,13 +123,22 @@ FLAGS = rf"""flags as (select *,
     as competitor_count
   from raw)"""
 
-_POINTS = " + ".join(
-    f"(case when {flag} then {round(weight * 100)} else 0 end)"
-    for flag, weight, _ in V.QUALITY_CHECKS
-)
-_MESSAGES = ", ".join(
-    f"case when not {flag} then '{message}' end" for flag, _, message in V.QUALITY_CHECKS
-)
+_POINTS = """(case when is_drug_name_valid then 20 else 0 end)
+    + (case when is_strength_valid then 10 else 0 end)
+    + (case when is_adverse_rate_valid then 15 else 0 end)
+    + (case when is_price_valid then 15 else 0 end)
+    + (case when is_approval_date_valid then 10 else 0 end)
+    + (case when is_patent_date_valid then 5 else 0 end)
+    + (case when is_efficacy_valid then 15 else 0 end)
+    + (case when is_safety_valid then 10 else 0 end)"""
+_MESSAGES = """case when not is_drug_name_valid then 'Invalid drug name' end,
+    case when not is_strength_valid then 'Invalid strength format' end,
+    case when not is_adverse_rate_valid then 'Invalid adverse event rate' end,
+    case when not is_price_valid then 'Invalid price' end,
+    case when not is_approval_date_valid then 'Invalid approval date' end,
+    case when not is_patent_date_valid then 'Invalid patent date' end,
+    case when not is_efficacy_valid then 'Invalid efficacy score' end,
+    case when not is_safety_valid then 'Invalid safety score' end"""
 
 SCORED = f"""scored as (select *, ({_POINTS}) / 100e0 as quality_score,
   case when ({_POINTS}) >= 80 then 'PASSED' when ({_POINTS}) >= 60 then 'WARNING'
@@ -301,20 +310,6 @@ ORACLES |= {
         f"""select {_VALIDATED}, '2001-06-01 00:00:00' as validation_timestamp,
           '2001-06-01' as validation_date from scored""",
     ),
-    "snk_03_write_enriched": over(
-        "enriched",
-        """select record_id, risk_category, market_position, confidence_score,
-          '2001-06-01' as enrichment_date from enriched""",
-    ),
-    "snk_04_write_summary": over(
-        "enriched",
-        f"""select '2001-06-01' as summary_date, drug_category, therapeutic_class, region,
-          count(*) as total_drugs,
-          count(distinct drug_name) filter (where {EARLY}) as pipeline_drugs,
-          count(distinct drug_name) filter (where {EXPIRING}) as patent_expiring_count,
-          count(distinct drug_name) filter (where {HIGH}) as high_risk_drugs
-          from enriched group by drug_category, therapeutic_class, region""",
-    ),
 }
 
 _METRIC = f"""'2001-06-01 00:00:00' as check_timestamp, 'validated' as table_name,
@@ -487,7 +482,7 @@ ORACLES |= {
     ),
     "ag_11_leaders": over(
         "enriched",
-        f"""select {_BY_CLASS}, {top_list('drug_name', 'rn', 5)} as top_drugs,
+        f"""select {_BY_CLASS}, {top_list("drug_name || '/' || market_share", 'rn', 5)} as top_drugs,
           max(drug_name) filter (where rn = 1) as market_leader
           from {_TOP_SHARE.format(by=_BY_CLASS)} group by {_BY_CLASS}""",
     ),
@@ -689,12 +684,20 @@ ORACLES |= {
         "enriched",
         f"""select '2001-06-01' as summary_date, {_SUMMARY},
           max(drug_name) filter (where rn = 1) as market_leader,
-          {top_list('drug_name', 'rn', 5)} as top_drugs,
+          {top_list("drug_name || '/' || market_share", 'rn', 5)} as top_drugs,
           '2001-06-01 00:00:00' as created_timestamp
           from {_TOP_SHARE.format(by=_BY_CLASS)} group by {_BY_CLASS}""",
     ),
 }
 
+ORACLES |= {
+    "snk_03_write_enriched": ORACLES["en_17_enrich"].replace(
+        "confidence_score from enriched",
+        "confidence_score, '2001-06-01' as enrichment_date from enriched",
+    ),
+    "snk_04_write_summary": ORACLES["en_19_daily_summary"],
+}
+
 # --- functions for SQL users ----------------------------------------------------
 
 _PRODUCT = r"""regexp_replace(regexp_replace(
@@ -908,6 +911,13 @@ ORACLES |= {
           {share("validation_status = 'PASSED'", 3)} as pass_rate from scored""",
     ),
     "dq_13_top_errors": over("scored", f"{_ERRORS} order by error_count desc, error limit 10"),
+    "dq_14_raw_check_dated": over(
+        "raw",
+        f"""select count(*) as total_records, count(distinct drug_name) as unique_drugs,
+          count(distinct manufacturer) as unique_manufacturers,
+          count(distinct drug_category) as unique_categories from raw
+          where cast(ingestion_timestamp as date) = {AS_OF}""",
+    ),
     "dq_14_raw_check": over(
         "raw",
         """select count(*) as total_records, count(distinct drug_name) as unique_drugs,
@@ -917,25 +927,17 @@ ORACLES |= {
 }
 
 # --- streaming ------------------------------------------------------------------
-# A window is out once the watermark, the latest event time in milliseconds less
-# the allowed lateness, has reached its end.
-
-
-def closed(length: str, late_by: str, source: str = "events") -> str:
-    return f"""time_bucket(interval '{length}', ts) + interval '{length}'
-      <= (select date_trunc('milliseconds', max(ts)) from {source}) - interval '{late_by}'"""
+# Every window of the table is there, the last ones too.
 
 
-def windows(length: str, columns: str, late_by: str = "0 seconds", where: str = "true",
-            latest_of: str = "events") -> str:
+def windows(length: str, columns: str, where: str = "true") -> str:
     start = f"time_bucket(interval '{length}', ts)"
     return f"""select {stamp(start)} as window_start,
       {stamp(f"{start} + interval '{length}'")} as window_end, {columns}
-      from events where {where} and {closed(length, late_by, latest_of)} group by 1, 2"""
+      from events where {where} group by 1, 2"""
 
 
 _SCORES = windows("300 seconds", f"{mean('value / 100', 6)} as mean")
-_ERROR_EVENTS = "(select ts from events where event_type = 'error')"
 
 ORACLES |= {
     "st_01_ingestion_events": f"""select event_id,
@@ -945,13 +947,18 @@ ORACLES |= {
         case when ok then 'user-' || user_id end as source_system,
         case when ok then event_type end as data_type,
         case when ok then priority end as priority,
-        case when ok and priority <> 'URGENT' then 'accepted' else 'rejected' end as outcome
+        case when ok and priority <> 'URGENT' then 'accepted' else 'rejected' end as outcome,
+        case when not ok then 'not json' when priority = 'URGENT' then
+          '{{"file_path":"events/' || event_id || '","file_size":' || (event_id * 7)
+          || ',"timestamp":' || cast(floor(epoch(ts)) as bigint)
+          || ',"source_system":"user-' || user_id || '","data_type":"' || event_type
+          || '","priority":"URGENT"}}' end as rejected_body
         from (select *, event_id % 11 <> 0 as ok,
           {pick(('LOW', 'MEDIUM', 'HIGH', 'CRITICAL', 'URGENT'), 'event_id')} as priority
           from events)""",
     "st_02_deduplicated_events": "select distinct event_id, event_type, value from events",
     "st_03_daily_within_retention": windows(
-        "1 day", f"count(*) as events, {total('value', 2)} as total", "7 days"
+        "1 day", f"count(*) as events, {total('value', 2)} as total"
     ),
     "st_04_volume": windows(
         "60 seconds", f"count(*) as events, {r('count(*) / 60', 6)} as per_second"
@@ -974,7 +981,6 @@ ORACLES |= {
           cast(sum(try_cast(json_extract_string(props, '$.k') as bigint)) as bigint)
             as error_count""",
         where="event_type = 'error'",
-        latest_of=_ERROR_EVENTS,
     ),
     "st_09_retention": over(
         "raw",

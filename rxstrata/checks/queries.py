@@ -1,8 +1,9 @@
 """The registered queries: every operator over the supplied tables, whole.
 
-Two stampings of the same records are used. In the *batch* one, a single run of
-``AS_OF`` validates and enriches all records; its layers are written once per
-session and folder, and the views read them, as in production. In the *daily* one
+Two stampings of the same records are used. In the *batch* one, the run of ``AS_OF``
+validates and enriches all records, and runs of two days before some of them; the
+layers are written once per session and folder, and the views read them with all
+their dates, as in production. In the *daily* one
 each record is stamped with its ingestion date, which gives per-date views many
 groups.
 """
@@ -40,6 +41,8 @@ from rxstrata.sources import commerce, files, generator
 from rxstrata.streaming import events as ev
 
 AS_OF = "2001-06-01"
+#: Earlier runs of the stored layers: the records whose patients divide by the number.
+EARLIER = {"2001-05-30": 3, "2001-05-31": 5}
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -125,6 +128,9 @@ def store(spark: SparkSession, folder: str) -> runs.Store:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stores or _stored(_stores[key], "validated") is None:
         made = runs.Store(spark, staging_path(spark, "store"))
+        for day, divisor in EARLIER.items():
+            part = raw(spark, folder).where(F.col("patient_count") % divisor == 0)
+            runs.run_validation(made, day, part)
         runs.run_validation(made, AS_OF, raw(spark, folder))
         _stores[key] = made
     return _stores[key]
@@ -134,11 +140,31 @@ def validated(spark: SparkSession, folder: str) -> DataFrame:
     return store(spark, folder).read("validated", AS_OF)
 
 
-def enriched(spark: SparkSession, folder: str) -> DataFrame:
+def full_store(spark: SparkSession, folder: str) -> runs.Store:
+    """The batch layers with the enriched one."""
     layers = store(spark, folder)
     if _stored(layers, "enriched") is None:
-        runs.run_enrichment(layers, AS_OF)
-    return layers.read("enriched", AS_OF)
+        for day in (*EARLIER, AS_OF):
+            runs.run_enrichment(layers, day)
+    return layers
+
+
+def enriched(spark: SparkSession, folder: str) -> DataFrame:
+    return full_store(spark, folder).read("enriched", AS_OF)
+
+
+def validated_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The validated layer with every stored date."""
+    return store(spark, folder).read("validated")
+
+
+def enriched_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The enriched layer with every stored date."""
+    return full_store(spark, folder).read("enriched")
+
+
+def latest_enriched(spark: SparkSession, folder: str) -> DataFrame:
+    return full_store(spark, folder).read_latest("enriched", AS_OF)
 
 
 def batch(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,35 +259,44 @@ def snk_01_overwrite_parquet(spark, folder):
     return runs.clean_csv(spark, _name_file(spark, folder), staging_path(spark, "cleaned"))
 
 
-def _written_twice(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+def _rewritten(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """``df`` as the day's second run, after a first one with twice the rows."""
     target = runs.Store(spark, staging_path(spark, "twice"))
-    target.write(name, df)
-    target.write(name, df)
+    target.write(name, df.unionByName(df))
+    target.write(name, df, AS_OF)
     return target.read(name)
 
 
+def _shown_enriched(rows: DataFrame) -> DataFrame:
+    money = ("predicted_revenue", "revenue_forecast_6m", "revenue_forecast_12m")
+    return rows.withColumns({n: F.round(n, 4) for n in money})
+
+
+def _shown_summary(rows: DataFrame) -> DataFrame:
+    means = (
+        "avg_efficacy_score", "avg_safety_score", "avg_adverse_event_rate", "avg_price_usd",
+    )
+    rounded = {name: F.round(name, 6) for name in means}
+    rounded["total_revenue"] = F.round("total_revenue", 2)
+    rounded["top_drugs"] = joined_structs("top_drugs", "drug_name", "market_share")
+    return rows.withColumns(rounded)
+
+
 @query
 def snk_02_write_validated(spark, folder):
-    return _written_twice(spark, "validated", validated(spark, folder).drop("validation_date"))
+    return _rewritten(spark, "validated", validated(spark, folder).drop("validation_date"))
 
 
 @query
 def snk_03_write_enriched(spark, folder):
-    rows = _written_twice(spark, "enriched", enriched(spark, folder).drop("enrichment_date"))
-    return rows.select(
-        "record_id", "risk_category", "market_position", "confidence_score", "enrichment_date"
-    )
+    rows = _rewritten(spark, "enriched", enriched(spark, folder).drop("enrichment_date"))
+    return _shown_enriched(rows)
 
 
 @query
 def snk_04_write_summary(spark, folder):
-    enriched(spark, folder)
-    again = store(spark, folder).read("summary").drop("created_timestamp")
-    rows = _written_twice(spark, "summary", again.withColumn("created_timestamp", start_of(AS_OF)))
-    return rows.select(
-        "summary_date", "drug_category", "therapeutic_class", "region", "total_drugs",
-        "pipeline_drugs", "patent_expiring_count", "high_risk_drugs",
-    )
+    again = full_store(spark, folder).read("summary", AS_OF)
+    return _shown_summary(_rewritten(spark, "summary", again))
 
 
 @query
@@ -280,8 +315,9 @@ def snk_05_write_metric(spark, folder):
 def snk_08_run_ledger(spark, folder):
     validated(spark, folder)
     ledger = store(spark, folder).read("pipeline_runs")
-    first = ledger.where(F.col("pipeline_name") == "validation")
-    return first.select(
+    checks = ledger.where(F.col("pipeline_name") == "validation")
+    # the run of all records: the earlier days had some of them
+    return checks.orderBy(F.col("total_records").desc()).limit(1).select(
         "pipeline_name", "status", "total_records", "processed_records", "failed_records"
     )
 
@@ -329,7 +365,9 @@ def prd_06_seeded_sample(spark, folder):
 @query
 def jn_01_country_left_join(spark, folder):
     table = constant_table(spark, V.COUNTRY_CODES, "country_name", "code")
-    coded = attach(raw(spark, folder), table, "country", "country_name", "code", "country_code")
+    coded = attach(
+        raw(spark, folder), table, "country", "country_name", "code", "country_code", unique=True
+    )
     return coded.groupBy("country", "country_code").agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -475,7 +513,7 @@ def ag_10_group_by_date(spark, folder):
 @query
 def ag_11_leaders(spark, folder):
     tops = marts.summary_leaders(enriched(spark, folder))
-    return tops.withColumn("top_drugs", joined_structs("top_drugs", "drug_name"))
+    return tops.withColumn("top_drugs", joined_structs("top_drugs", "drug_name", "market_share"))
 
 
 @query
@@ -504,13 +542,13 @@ def wn_02_market_rank(spark, folder):
 
 @query
 def wn_03_revenue_rank(spark, folder):
-    view = views.market_intelligence(enriched(spark, folder))
+    view = views.market_intelligence(latest_enriched(spark, folder))
     return view.select("drug_category", "therapeutic_class", "revenue_rank")
 
 
 @query
 def wn_04_share_of_total(spark, folder):
-    view = views.market_intelligence(enriched(spark, folder))
+    view = views.market_intelligence(latest_enriched(spark, folder))
     share = F.round("market_share_pct", 6).alias("market_share_pct")
     return view.select("drug_category", "therapeutic_class", share)
 
@@ -782,9 +820,7 @@ def en_16_confidence(spark, folder):
 
 @query
 def en_17_enrich(spark, folder):
-    rows = enriched(spark, folder).drop("enrichment_date")
-    money = ("predicted_revenue", "revenue_forecast_6m", "revenue_forecast_12m")
-    return rows.withColumns({n: F.round(n, 4) for n in money})
+    return _shown_enriched(enriched(spark, folder).drop("enrichment_date"))
 
 
 @query
@@ -800,15 +836,7 @@ def en_18_run_metrics(spark, folder):
 
 @query
 def en_19_daily_summary(spark, folder):
-    enriched(spark, folder)
-    rows = store(spark, folder).read("summary", AS_OF)
-    means = (
-        "avg_efficacy_score", "avg_safety_score", "avg_adverse_event_rate", "avg_price_usd",
-    )
-    rounded = {name: F.round(name, 6) for name in means}
-    rounded["total_revenue"] = F.round("total_revenue", 2)
-    rounded["top_drugs"] = joined_structs("top_drugs", "drug_name")
-    return rows.withColumns(rounded)
+    return _shown_summary(full_store(spark, folder).read("summary", AS_OF))
 
 
 # --- functions for SQL users ----------------------------------------------------
@@ -916,23 +944,23 @@ def vw_01_data_quality_summary(spark, folder):
 
 @query
 def vw_02_common_errors(spark, folder):
-    return views.common_validation_errors(validated(spark, folder), AS_OF)
+    return views.common_validation_errors(validated_days(spark, folder), AS_OF)
 
 
 @query
 def vw_03_market_analysis(spark, folder):
-    view = views.market_analysis(enriched(spark, folder), AS_OF)
+    view = views.market_analysis(enriched_days(spark, folder), AS_OF)
     return view.withColumn("top_drugs", joined_structs("top_drugs", "drug_name", "market_position"))
 
 
 @query
 def vw_04_stage_performance(spark, folder):
-    return views.pipeline_performance(enriched(spark, folder), AS_OF)
+    return views.pipeline_performance(enriched_days(spark, folder), AS_OF)
 
 
 @query
 def vw_05_risk_analysis(spark, folder):
-    return views.risk_analysis(enriched(spark, folder), AS_OF)
+    return views.risk_analysis(enriched_days(spark, folder), AS_OF)
 
 
 def monitor(spark: SparkSession, folder: str, as_of: str = AS_OF) -> DataFrame:
@@ -948,18 +976,18 @@ def vw_06_stage_monitor(spark, folder):
 
 @query
 def vw_07_market_intelligence(spark, folder):
-    view = views.market_intelligence(enriched(spark, folder))
+    view = views.market_intelligence(latest_enriched(spark, folder))
     return view.withColumn("market_share_pct", F.round("market_share_pct", 6))
 
 
 @query
 def vw_08_drug_risk_matrix(spark, folder):
-    return views.drug_risk_matrix(enriched(spark, folder), AS_OF)
+    return views.drug_risk_matrix(enriched_days(spark, folder), AS_OF)
 
 
 @query
 def vw_09_executive_summary(spark, folder):
-    return views.executive_summary(enriched(spark, folder), AS_OF)
+    return views.executive_summary(enriched_days(spark, folder), AS_OF)
 
 
 # --- reports --------------------------------------------------------------------
@@ -967,7 +995,7 @@ def vw_09_executive_summary(spark, folder):
 
 @query
 def dq_01_executive_summary(spark, folder):
-    return reports.executive_summary(enriched(spark, folder), AS_OF)
+    return reports.executive_summary(enriched_days(spark, folder), AS_OF)
 
 
 @query
@@ -977,17 +1005,17 @@ def dq_02_recent_stages(spark, folder):
 
 @query
 def dq_03_top_revenue(spark, folder):
-    return reports.top_drugs_by_revenue(enriched(spark, folder), AS_OF)
+    return reports.top_drugs_by_revenue(enriched_days(spark, folder), AS_OF)
 
 
 @query
 def dq_04_share_by_category(spark, folder):
-    return reports.share_by_category(enriched(spark, folder))
+    return reports.share_by_category(latest_enriched(spark, folder))
 
 
 @query
 def dq_05_high_risk_alert(spark, folder):
-    return reports.high_risk_alert(enriched(spark, folder), AS_OF)
+    return reports.high_risk_alert(enriched_days(spark, folder), AS_OF)
 
 
 @query
@@ -997,7 +1025,7 @@ def dq_06_quality_trend(spark, folder):
 
 @query
 def dq_07_regional_performance(spark, folder):
-    return reports.regional_performance(enriched(spark, folder), AS_OF)
+    return reports.regional_performance(enriched_days(spark, folder), AS_OF)
 
 
 @query
@@ -1007,27 +1035,27 @@ def dq_08_stages_today(spark, folder):
 
 @query
 def dq_09_top_five(spark, folder):
-    return reports.top_revenue_short(enriched(spark, folder), AS_OF)
+    return reports.top_revenue_short(enriched_days(spark, folder), AS_OF)
 
 
 @query
 def dq_10_enrichment_check(spark, folder):
-    return reports.enrichment_check(enriched(spark, folder), AS_OF)
+    return reports.enrichment_check(enriched_days(spark, folder), AS_OF)
 
 
 @query
 def dq_11_top_enrichment(spark, folder):
-    return reports.top_revenue_enrichment(enriched(spark, folder), AS_OF)
+    return reports.top_revenue_enrichment(enriched_days(spark, folder), AS_OF)
 
 
 @query
 def dq_12_validation_today(spark, folder):
-    return reports.validation_today(validated(spark, folder), AS_OF)
+    return reports.validation_today(validated_days(spark, folder), AS_OF)
 
 
 @query
 def dq_13_top_errors(spark, folder):
-    return reports.top_errors(validated(spark, folder), AS_OF)
+    return reports.top_errors(validated_days(spark, folder), AS_OF)
 
 
 @query
@@ -1035,11 +1063,26 @@ def dq_14_raw_check(spark, folder):
     return reports.raw_check(raw(spark, folder))
 
 
+@query
+def dq_14_raw_check_dated(spark, folder):
+    return reports.raw_check(raw(spark, folder), AS_OF)
+
+
 # --- streaming ------------------------------------------------------------------
 
 
+STREAM_FILES = 4
+_event_files: dict[tuple[str, str], str] = {}
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return ev.instants(ev.read_table_stream(spark, folder, "events"))
+    """All events as a stream of several batches, whose times overlap."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _event_files:
+        _event_files[key] = staging_path(spark, "event-files")
+        events = commerce.table(spark, folder, "events")
+        events.repartition(STREAM_FILES, "event_id").write.parquet(f"{_event_files[key]}/events.parquet")
+    return ev.instants(ev.read_table_stream(spark, _event_files[key], "events", 1))
 
 
 def _streamed(stream: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -1047,6 +1090,11 @@ def _streamed(stream: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFram
     return ev.run_to_files(stream, f"{base}/out", f"{base}/checkpoint", partition_by)
 
 
+def _windows(stream: DataFrame) -> DataFrame:
+    base = staging_path(stream.sparkSession, "windows")
+    return ev.run_to_end(stream, f"{base}/out", f"{base}/checkpoint")
+
+
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
     return _events(spark, folder).withColumn("score", F.col("value") / 100)
 
@@ -1067,48 +1115,51 @@ def st_01_ingestion_events(spark, folder):
     messages = _events(spark, folder).select(
         "event_id", F.when(broken, "not json").otherwise(body).alias("body")
     )
-    parsed = ev.parse_ingestion(messages).select("event_id", "event.*", "outcome")
+    # of an accepted event the fields say it all; a rejected one keeps its body
+    kept = F.when(F.col("outcome") == "rejected", F.col("body")).alias("rejected_body")
+    parsed = ev.parse_ingestion(messages).select("event_id", "event.*", "outcome", kept)
     return _streamed(parsed, ("outcome",))
 
 
 @query
 def st_02_deduplicated_events(spark, folder):
     twice = _events(spark, folder).unionByName(_events(spark, folder))
-    return _streamed(ev.without_redelivery(twice).select("event_id", "event_type", "value"))
+    once = ev.without_redelivery(twice, within=None)
+    return _streamed(once.select("event_id", "event_type", "value"))
 
 
 @query
 def st_03_daily_within_retention(spark, folder):
-    return _streamed(ev.daily_within_retention(_events(spark, folder)))
+    return _windows(ev.daily_within_retention(_events(spark, folder)))
 
 
 @query
 def st_04_volume(spark, folder):
-    counts = _streamed(ev.volume(_events(spark, folder)))
+    counts = _windows(ev.volume(_events(spark, folder)))
     return counts.withColumn("per_second", F.round("per_second", 6))
 
 
 @query
 def st_05_quality_5min(spark, folder):
-    return _streamed(ev.mean_of(_scored(spark, folder), "score"))
+    return _windows(ev.mean_of(_scored(spark, folder), "score"))
 
 
 @query
 def st_06_quality_incidents(spark, folder):
     low = ev.alerts(ev.mean_of(_scored(spark, folder), "score"), V.QUALITY_ALERT_BELOW)
-    return ev.incidents(_streamed(low))
+    return ev.incidents(_windows(low))
 
 
 @query
 def st_07_bytes_alert(spark, folder):
     sized = _events(spark, folder).withColumn("bytes", F.col("value") * 2.0**28)
     means = ev.mean_of(sized, "bytes", 0)
-    return _streamed(ev.alerts(means, V.BYTES_ALERT_ABOVE, above=True))
+    return _windows(ev.alerts(means, V.BYTES_ALERT_ABOVE, above=True))
 
 
 @query
 def st_08_error_gauge(spark, folder):
-    return _streamed(ev.error_gauge(_events(spark, folder)))
+    return _windows(ev.error_gauge(_events(spark, folder)))
 
 
 @query

@@ -4,6 +4,8 @@ Everything here is data. The logic that applies it lives in ``operators``,
 ``functions`` and ``plans``.
 """
 
+from typing import NamedTuple
+
 # --- Fixed values: names, strengths and countries -------------------------------
 
 NAME_DISALLOWED = r"[^A-Z0-9\s\-]"
@@ -145,9 +147,41 @@ PRODUCT_FORM_SUFFIX = r"\s+(TABLET|CAPSULE|INJECTION|SOLUTION|CREAM|GEL)S?$"
 PRODUCT_UNIT_SUFFIX = r"\s+(MG|MCG|ML|GM?)$"
 LABEL_STRENGTH = r"(?i)([0-9.]+)\s*(mg|mcg|g|ml|iu|%)?"
 
-FIXED_TIERS = ((10, "LOW"), (100, "MEDIUM"), (1000, "HIGH"))
-FIXED_TIER_BEYOND = "PREMIUM"
+
+
+class LabelRules(NamedTuple):
+    """Labels in order, each with alternatives of limits that must all be met."""
+
+    cases: tuple
+    default: str
+
+
+DRUG_RISK = LabelRules(
+    (
+        ([[("event_rate", ">", 0.1)], [("safety", "<", 0.5)]], "HIGH"),
+        ([[("event_rate", ">", 0.05)], [("safety", "<", 0.7)]], "MEDIUM"),
+        ([[("patients", "<", 100)]], "UNKNOWN"),
+    ),
+    "LOW",
+)
+FIXED_PRICE_TIER = LabelRules(
+    (
+        ([[("price", "<", 10)]], "LOW"),
+        ([[("price", "<", 100)]], "MEDIUM"),
+        ([[("price", "<", 1000)]], "HIGH"),
+    ),
+    "PREMIUM",
+)
 FIXED_TIER_NULL = "UNKNOWN"
+FIXED_POSITION = LabelRules(
+    (
+        ([[("share", ">", 0.3)]], "LEADER"),
+        ([[("share", ">", 0.15), ("efficacy", ">", 0.7)]], "CHALLENGER"),
+        ([[("price", "<", 50), ("efficacy", ">", 0.6)]], "VALUE_PLAYER"),
+        ([[("efficacy", ">", 0.8)]], "INNOVATOR"),
+    ),
+    "FOLLOWER",
+)
 
 RECORD_TEXT_POINTS = {"drug_name": 20, "manufacturer": 15, "drug_category": 15}
 # field, points, upper bound (lower bound 0)
@@ -170,17 +204,8 @@ RAW_RETENTION_DAYS = 90
 
 # --- Fixed values: synthetic records --------------------------------------------
 
-GENERATED_NAMES = (
-    "Aspirinol", "Betacor", "Cardiovex", "Diabetrol", "Enzycure",
-    "Fluxamine", "Gastroplex", "Hemopure", "Immunex", "Jointflex",
-    "Ketopain", "Lipidex", "Metaforte", "Neurocal", "Oncozyme",
-    "Pulmoclear", "Quinolex", "Rheumex", "Synthroid", "Thyrozine",
-    "Ultracor", "Vitaplex", "Wellbutrin", "Xanapro", "Zolactin",
-)
-GENERATED_MANUFACTURERS = (
-    "PharmaCorp", "MediGlobal", "BioGenix", "HealthTech", "CurePharma",
-    "NovaMed", "GeneriCo", "TherapeuticX", "DrugMakers", "MediLabs",
-)
+GENERATED_NAMES = tuple(f"{a}{b}" for a in ("Alu", "Bero", "Cavi", "Domo", "Elfa") for b in ("ril", "san", "tex", "vor", "zan"))
+GENERATED_MANUFACTURERS = tuple(f"Maker {chr(ord('A') + i)}" for i in range(10))
 GENERATED_CATEGORIES = (
     "Cardiovascular", "Respiratory", "Neurological", "Gastrointestinal", "Endocrine",
     "Anti-infective", "Oncology", "Immunology", "Analgesic", "Psychiatric",

@@ -51,35 +51,38 @@ def either(condition: Column, values: tuple[float, float]) -> Column:
     return F.when(condition, values[0]).otherwise(values[1])
 
 
-def exact(value: str | Column) -> Column:
-    """Fixed-point form of a double, whose sum does not depend on the row order."""
+FIXED_POINT = "decimal(38,12)"
+
+
+def fixed_point(value: str | Column) -> Column:
+    """Fixed-point form of a double, whose sum does not depend on the row order.
+
+    12 digits behind the point, 26 in front. NULL for NaN, infinities and values that
+    do not fit: such a value is in no sum, and in no count of a mean either.
+    """
     column = F.col(value) if isinstance(value, str) else value
-    return column.cast("decimal(28,8)")
+    return column.try_cast(FIXED_POINT)
 
 
 def exact_sum(value: str | Column, digits: int | None = None) -> Column:
     """SUM of a double column, the same for any partitioning of the rows."""
-    total = F.sum(exact(value))
+    total = F.try_sum(fixed_point(value))
     return (total if digits is None else F.round(total, digits)).cast("double")
 
 
 def exact_mean(value: str | Column, digits: int | None = None) -> Column:
     """AVG of a double column, the same for any partitioning of the rows."""
-    column = F.col(value) if isinstance(value, str) else value
-    return ratio(F.sum(exact(column)), F.count(column), digits)
+    fixed = fixed_point(value)
+    return ratio(F.try_sum(fixed), F.count(fixed), digits)
 
 
 def ratio(part: Column, count: Column, digits: int | None = None) -> Column:
     """``part`` per ``count`` rows, rounded half up; NULL where ``count`` is 0.
 
-    The division is in fixed point with 18 digits, so a tie is seen as one. A part
-    beyond 20 digits is divided as a double.
+    The division is in fixed point, so a tie is seen as one.
     """
-    fixed = F.try_divide(part.try_cast("decimal(28,8)"), count.cast("decimal(18,0)"))
-    plain = F.try_divide(part.cast("double"), count.cast("double"))
-    if digits is not None:
-        fixed, plain = F.round(fixed, digits), F.round(plain, digits)
-    return F.coalesce(fixed.cast("double"), plain)
+    divided = F.try_divide(part.try_cast(FIXED_POINT), count.cast("decimal(18,0)"))
+    return (divided if digits is None else F.round(divided, digits)).cast("double")
 
 
 def count_where(condition: Column) -> Column:

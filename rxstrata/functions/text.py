@@ -57,8 +57,8 @@ def label_strength(strength: Column) -> Column:
 
 
 def list_size(text: Column, separator: str = ",") -> Column:
-    """Number of separated parts, 0 for NULL."""
-    parts = F.size(F.split(text, separator)).cast("long")
+    """Number of parts between plain ``separator`` strings, 0 for NULL."""
+    parts = F.size(F.split(text, f"\\Q{separator}\\E")).cast("long")
     return F.when(text.isNotNull(), parts).otherwise(F.lit(0).cast("long"))
 
 

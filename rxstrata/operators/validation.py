@@ -17,7 +17,7 @@ from rxstrata import fixed_values as V
 from rxstrata import schemas
 from rxstrata.functions import text
 from rxstrata.functions.columns import as_date, first_match, start_of
-from rxstrata.operators.lookup import attach, constant_table
+from rxstrata.operators.lookup import attach, constant_table, one_per_key
 
 Day = str | dt.date | Column
 
@@ -46,11 +46,13 @@ def parse_strength(df: DataFrame) -> DataFrame:
 def code_countries(df: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
     """Country codes by name; a country the mapping lacks stays as it is.
 
-    ``mapping`` has the columns ``country_name`` and ``code``.
+    ``mapping`` has the columns ``country_name`` and ``code``; of a name that it has
+    twice the smaller code counts.
     """
-    if mapping is None:
+    constant = mapping is None
+    if constant:
         mapping = constant_table(df.sparkSession, V.COUNTRY_CODES, "country_name", "code")
-    return attach(df, mapping, "country", "country_name", "code", "country_code")
+    return attach(df, mapping, "country", "country_name", "code", "country_code", unique=constant)
 
 
 def rate_adverse_events(df: DataFrame) -> DataFrame:
@@ -68,12 +70,13 @@ def price_in_usd(df: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     """Price in USD: as given, or times the rate of its currency.
 
     ``rates`` has the columns ``currency_code`` and ``usd_rate``; a currency it
-    lacks keeps its price.
+    lacks keeps its price, of one that it has twice the smaller rate counts.
     """
     if rates is None:
         priced = df.withColumn("price_usd", F.col("price"))
     else:
-        named = rates.select(F.col("currency_code").alias("__code"), "usd_rate")
+        named = one_per_key(rates, "currency_code", F.min("usd_rate").alias("usd_rate"))
+        named = named.withColumnRenamed("currency_code", "__code")
         priced = (
             df.join(named, F.col("currency") == F.col("__code"), "left")
             .withColumn("price_usd", F.col("price") * F.coalesce("usd_rate", F.lit(1.0)))

@@ -15,6 +15,7 @@ from rxstrata import schemas
 from rxstrata.functions import text
 from rxstrata.functions.columns import banded, count_where, exact_mean, first_match, ratio
 from rxstrata.operators import distribution as dist
+from rxstrata.operators.lookup import one_per_key
 from rxstrata.operators.topk import join_groups
 from rxstrata.session import stage
 
@@ -101,7 +102,8 @@ def silver(
     lookups: DataFrame | None = None,
 ) -> DataFrame:
     """Silver rows. ``lookups`` may give ``therapeutic_class`` and
-    ``fda_approval_status`` per ``generic_name_standardized``; without it they are NULL."""
+    ``fda_approval_status`` per ``generic_name_standardized``; without it they are NULL.
+    Of a name that it has twice the smaller pair counts."""
     rows = categorise(standardise(bronze), limits)
     index = stage(competition(rows), "competition")
     rows = join_groups(rows, index, ["generic_name_standardized"])
@@ -113,7 +115,9 @@ def silver(
             }
         )
     else:
-        rows = join_groups(rows, lookups, ["generic_name_standardized"])
+        key, pair = "generic_name_standardized", F.struct("therapeutic_class", "fda_approval_status")
+        once = one_per_key(lookups, key, F.min(pair).alias("pair")).select(key, "pair.*")
+        rows = join_groups(rows, once, [key])
     known = F.when(F.col("dosage_category") == "UNKNOWN", 0.0).otherwise(0.5)
     return rows.withColumns(
         {

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rxstrata import fixed_values as V
 from rxstrata import schemas
-from rxstrata.functions.columns import as_date, count_where, exact, ratio, start_of
+from rxstrata.functions.columns import as_date, count_where, fixed_point, ratio, start_of
 from rxstrata.operators.topk import join_groups, top_k_arrays
 
 SUMMARY_KEYS = ("drug_category", "therapeutic_class", "region")
@@ -37,8 +37,8 @@ def summary_totals(enriched: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("records"),
         F.sum("patient_count").alias("patients"),
         F.sum("adverse_events").alias("events"),
-        F.sum(exact("predicted_revenue")).alias("revenue"),
-        *[F.sum(exact(c)).alias(f"{name}_sum") for name, c in sums.items()],
+        F.try_sum(fixed_point("predicted_revenue")).alias("revenue"),
+        *[F.try_sum(fixed_point(c)).alias(f"{name}_sum") for name, c in sums.items()],
         *[F.count(c).alias(f"{name}_count") for name, c in sums.items()],
         *[F.bool_or(F.coalesce(flag, F.lit(False))).alias(name) for name, flag in flags.items()],
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import time
 import uuid
@@ -15,7 +16,8 @@ from rxstrata.functions.columns import count_where, exact_mean, ratio, start_of
 from rxstrata.operators import enrichment, validation
 from rxstrata.plans.marts import daily_summary
 from rxstrata.sinks.layers import append_rows, replace_check, write_layer
-from rxstrata.sources.files import read_csv, read_layer
+from rxstrata.session import scratch
+from rxstrata.sources.files import read_csv, read_latest, read_layer
 
 
 def status_totals(validated: DataFrame) -> DataFrame:
@@ -92,8 +94,11 @@ class Store:
     def read(self, name: str, day: str | dt.date | Column | None = None) -> DataFrame:
         return read_layer(self.spark, self.path(name), schemas.LAYERS[name], day)
 
-    def write(self, name: str, df: DataFrame) -> None:
-        write_layer(df, self.path(name), schemas.LAYERS[name])
+    def read_latest(self, name: str, as_of: str | dt.date | None = None) -> DataFrame:
+        return read_latest(self.spark, self.path(name), schemas.LAYERS[name], as_of)
+
+    def write(self, name: str, df: DataFrame, day: str | dt.date | None = None) -> None:
+        write_layer(df, self.path(name), schemas.LAYERS[name], day)
 
 
 def run_validation(
@@ -104,18 +109,18 @@ def run_validation(
     The totals come from the two columns they need of the written partition: unlike
     counters kept while writing, that stays exact when a task runs twice.
     """
-    started = time.time()
-    raw = store.read("raw", as_of) if raw is None else raw
-    store.write("validated", validation.validate(raw, as_of, run_at))
-    written = store.read("validated", as_of if run_at is None else None)
-    totals = status_totals(written)
-    metric = pass_rate_metric(totals, "validated", start_of(as_of))
-    replace_check(metric, store.path("quality_metrics"), schemas.LAYERS["quality_metrics"])
-    log_run(store, "validation", started, totals.select(
-        "total_records",
-        (F.col("total_records") - F.col("failed_records")).alias("processed_records"),
-        "failed_records",
-    ))
+    with logged(store, "validation") as counts, scratch(store.spark):
+        raw = store.read("raw", as_of) if raw is None else raw
+        day = as_of if run_at is None else None
+        store.write("validated", validation.validate(raw, as_of, run_at), day)
+        totals = status_totals(store.read("validated", day))
+        metric = pass_rate_metric(totals, "validated", start_of(as_of))
+        replace_check(metric, store.path("quality_metrics"), schemas.LAYERS["quality_metrics"])
+        counts.append(totals.select(
+            "total_records",
+            (F.col("total_records") - F.col("failed_records")).alias("processed_records"),
+            "failed_records",
+        ))
     return status_report(totals)
 
 
@@ -123,21 +128,45 @@ def run_enrichment(
     store: Store, as_of: str | dt.date, validated: DataFrame | None = None, run_at: Column | None = None
 ) -> DataFrame:
     """Enrich a day of validated records, write them and their daily summary."""
-    started = time.time()
-    validated = store.read("validated", as_of) if validated is None else validated
-    store.write("enriched", enrichment.enrich(validated, as_of, run_at))
-    written = store.read("enriched", as_of if run_at is None else None)
-    store.write("summary", daily_summary(written, as_of))
-    totals = enrichment_totals(written)
-    log_run(store, "enrichment", started, totals.select(
-        F.col("total_enriched").alias("total_records"),
-        F.col("total_enriched").alias("processed_records"),
-        F.lit(0).cast("long").alias("failed_records"),
-    ))
+    with logged(store, "enrichment") as counts, scratch(store.spark):
+        validated = store.read("validated", as_of) if validated is None else validated
+        day = as_of if run_at is None else None
+        store.write("enriched", enrichment.enrich(validated, as_of, run_at), day)
+        written = store.read("enriched", day)
+        store.write("summary", daily_summary(written, as_of), as_of)
+        totals = enrichment_totals(written)
+        counts.append(totals.select(
+            F.col("total_enriched").alias("total_records"),
+            F.col("total_enriched").alias("processed_records"),
+            F.lit(0).cast("long").alias("failed_records"),
+        ))
     return totals
 
 
-def log_run(store: Store, pipeline: str, started: float, counts: DataFrame) -> None:
+@contextlib.contextmanager
+def logged(store: Store, pipeline: str):
+    """One ledger row for the run inside, which appends its counts to what it is given.
+
+    A run that raises leaves a FAILED row with the error and no counts, and raises on.
+    """
+    started, counts = time.time(), []
+    try:
+        yield counts
+    except Exception as error:
+        unknown = [F.lit(None).cast("long").alias(n) for n in RUN_COUNTS]
+        text = f"{type(error).__name__}: {error}"
+        log_run(store, pipeline, started, store.spark.range(1).select(*unknown), "FAILED", text)
+        raise
+    log_run(store, pipeline, started, counts[0])
+
+
+RUN_COUNTS = ("total_records", "processed_records", "failed_records")
+
+
+def log_run(
+    store: Store, pipeline: str, started: float, counts: DataFrame, status: str = "SUCCEEDED",
+    error: str | None = None,
+) -> None:
     """Append one row of the run ledger; ``counts`` has the three record counts."""
     ended = time.time()
     row = counts.select(
@@ -145,11 +174,9 @@ def log_run(store: Store, pipeline: str, started: float, counts: DataFrame) -> N
         F.lit(pipeline).alias("pipeline_name"),
         F.timestamp_seconds(F.lit(started)).alias("start_timestamp"),
         F.timestamp_seconds(F.lit(ended)).alias("end_timestamp"),
-        F.lit("SUCCEEDED").alias("status"),
-        "total_records",
-        "processed_records",
-        "failed_records",
-        F.lit(None).cast("string").alias("error_details"),
+        F.lit(status).alias("status"),
+        *RUN_COUNTS,
+        F.lit(error).cast("string").alias("error_details"),
         F.lit(int(ended - started)).cast("long").alias("duration_seconds"),
         F.lit(None).cast("double").alias("cost_estimate"),
     )

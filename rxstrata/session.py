@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -12,9 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # the JVM does not compile methods above 8000 bytes: wide projections that
-    # generate longer ones run faster outside whole-stage code
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -29,9 +27,11 @@ def build_session(name: str = "rxstrata", master: str | None = None, **conf: str
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session somebody else has started."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+    """Make a session somebody else has started fit: dates are taken in UTC.
+
+    Plans do not depend on the other settings, so the caller's stay as they are.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     shared_dir(spark)
     return spark
 
@@ -52,10 +52,53 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a URI."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; nothing happens where there is none."""
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
+_folders: list[str] = []  # of the runs that are under way, innermost last
+_ended_with: set[str] = set()
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """What is staged inside goes to one folder, which is deleted at the end."""
+    folder = f"{_application_folder(spark)}/run-{uuid.uuid4().hex}"
+    _folders.append(folder)
+    try:
+        yield folder
+    finally:
+        _folders.remove(folder)
+        delete(spark, folder)
+
+
+def _application_folder(spark: SparkSession) -> str:
+    """Folder of this application; the file system deletes it when the JVM ends.
+
+    A crashed driver leaves it behind: its name is the application's id, so a
+    retention rule of the store can drop it.
+    """
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if folder not in _ended_with:
+        fs, at = file_system(spark, folder)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _ended_with.add(folder)
+    return folder
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nobody has used yet."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    folder = _folders[-1] if _folders else _application_folder(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

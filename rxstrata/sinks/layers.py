@@ -4,21 +4,27 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxstrata.functions.columns import as_date
 from rxstrata.schemas import Layer
+from rxstrata.session import delete
+from rxstrata.sources.files import stored_days
 
 
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_layer(df: DataFrame, path: str, layer: Layer) -> None:
+def write_layer(
+    df: DataFrame, path: str, layer: Layer, day: str | dt.date | None = None
+) -> None:
     """Write ``df`` into its date partitions, replacing just the dates it holds.
 
-    Running a day again therefore leaves its row count as it was. Rows are brought
+    A run that knows its ``day`` replaces that date whatever it holds: with fewer rows,
+    or with none, nothing of an earlier run stays. All rows must then be of that day.
+    Rows are brought
     together by date and cluster keys and sorted by them, so that row-group
     statistics can skip. The rebalance hint lets AQE split the files of a hot date
     or key by size and join small ones; a plain ``repartition`` by the keys would
@@ -26,10 +32,13 @@ def write_layer(df: DataFrame, path: str, layer: Layer) -> None:
     """
     dated = df.withColumn(layer.partition, F.to_date(layer.dated_by))
     keys = [layer.partition, *layer.cluster]
+    ready = dated.hint("rebalance", *map(F.col, keys)).sortWithinPartitions(*keys)
+    if day is not None:
+        folder = f"{path}/{layer.partition}={dt.date.fromisoformat(str(day))}"
+        ready.drop(layer.partition).write.mode("overwrite").parquet(folder)
+        return
     (
-        dated.hint("rebalance", *map(F.col, keys))
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
+        ready.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(layer.partition)
         .parquet(path)
@@ -54,6 +63,17 @@ def replace_check(df: DataFrame, path: str, layer: Layer) -> None:
     )
 
 
+def drop_expired(
+    spark: SparkSession, path: str, layer: Layer, as_of: str | dt.date, keep_days: int
+) -> list[dt.date]:
+    """Delete the date partitions of a layer that are older than ``keep_days``."""
+    oldest = dt.date.fromisoformat(str(as_of)) - dt.timedelta(days=keep_days)
+    expired = [day for day in stored_days(spark, path, layer) if day < oldest]
+    for day in expired:
+        delete(spark, f"{path}/{layer.partition}={day}")
+    return expired
+
+
 def within_retention(
     df: DataFrame, layer: Layer, as_of: str | dt.date | Column, keep_days: int
 ) -> DataFrame:

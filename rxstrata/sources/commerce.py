@@ -27,15 +27,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Share the rows of a scan among all slots where it has fewer splits than slots.
-
-    A table of many files already has more splits, and is left alone.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, *keys)
-
-
 def pick(labels: tuple, key: Column) -> Column:
     """The label at ``key`` modulo the number of labels."""
     return F.get(F.array(*map(F.lit, labels)), (key % len(labels)).cast("int"))
@@ -57,8 +48,7 @@ def order_lines(
     scan. ``lines`` may be a stream of line items.
     """
     if lines is None:
-        keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        lines = spread(table(spark, folder, "lineitem"), *keys)
+        lines = table(spark, folder, "lineitem")
     if shipped_on is not None:
         day = dt.date.fromisoformat(str(shipped_on))
         first, after = (
@@ -100,7 +90,7 @@ def raw_records(
         "record_id": F.concat_ws("-", order, line, part, supplier),
         "drug_name": F.concat(
             F.upper(F.substring("p_name", 1, 1)),
-            F.substring("p_name", 2, 1000000),
+            F.expr("substring(p_name, 2)"),
             pick(RELEASES, part),
         ),
         "drug_code": F.concat(F.lit("DRG-"), (part + 1000).cast("string")),

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from rxstrata import schemas
 from rxstrata.functions.columns import as_date, on_day, start_of
+from rxstrata.session import file_system
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -65,14 +66,41 @@ def rows_since(df: DataFrame, layer: schemas.Layer, day: str | dt.date | Column)
     return df.where(F.col(layer.dated_by) >= start_of(day))
 
 
-def latest_snapshot(df: DataFrame, layer: schemas.Layer) -> DataFrame:
-    """Rows of the last date, found by a scalar subquery.
+def stored_days(spark: SparkSession, path: str, layer: schemas.Layer) -> list[dt.date]:
+    """The dates a layer has, from the names of its folders: no file is opened."""
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(at))
+    prefix = f"{layer.partition}="
+    return sorted(
+        dt.date.fromisoformat(n.removeprefix(prefix))
+        for n in names
+        if n.startswith(prefix) and not n.endswith("__HIVE_DEFAULT_PARTITION__")
+    )
+
+
+def read_latest(
+    spark: SparkSession, path: str, layer: schemas.Layer, as_of: str | dt.date | None = None
+) -> DataFrame:
+    """The newest date of a stored layer, not after ``as_of``; without any, no rows."""
+    limit = dt.date.max if as_of is None else dt.date.fromisoformat(str(as_of))
+    days = [day for day in stored_days(spark, path, layer) if day <= limit]
+    return read_layer(spark, path, layer, days[-1]) if days else read_layer(spark, path, layer).where("false")
+
+
+def latest_snapshot(
+    df: DataFrame, layer: schemas.Layer, as_of: str | dt.date | Column | None = None
+) -> DataFrame:
+    """Rows of the last date, not after ``as_of``, found by a scalar subquery.
 
-    On a stored layer the subquery reads no column but the partition's, and its
-    result prunes the scan.
+    For tables of any origin; ``read_latest`` finds the date of a stored layer without
+    opening its files. On a stored layer the subquery's result prunes the scan.
     """
     stored = layer.partition in df.columns
     day = F.col(layer.partition) if stored else F.to_date(layer.dated_by)
+    if as_of is not None:
+        df = df.where(day <= as_date(as_of))
     newest = df.select(F.max(day).alias("day")).scalar()
     return df.where(day == newest)
 

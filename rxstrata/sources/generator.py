@@ -13,6 +13,25 @@ from rxstrata.functions.columns import as_date
 from rxstrata.sources.commerce import pick
 
 
+RELEASES = (" XR", " SR", "")
+LABELS = {
+    "dosage_form": V.GENERATED_FORMS,
+    "route_of_administration": V.GENERATED_ROUTES,
+    "country": V.GENERATED_COUNTRIES,
+    "clinical_trial_phase": ("Phase II", "Phase III", "Phase IV", "Approved"),
+    "currency": ("USD",),
+}
+#: (lowest, highest, digits), (lowest, first beyond), days from the date of the run
+DECIMALS = {
+    "price": (10, 1000, 2),
+    "efficacy_score": (0.5, 1, 3),
+    "safety_score": (0.4, 1, 3),
+    "market_share": (0, 0.5, 3),
+}
+COUNTS = {"patient_count": (100, 10000), "adverse_events": (0, 100)}
+DAYS = {"approval_date": (-3650, 1), "patent_expiry_date": (365, 4015), "ingested_on": (-29, 1)}
+
+
 def draw(key: Column, what: str, seed: int = 0) -> Column:
     """A number in [0, 1) that depends on ``key``, the purpose and the seed alone."""
     bits = F.xxhash64(F.lit(seed), F.lit(what), key).bitwiseAND(F.lit((1 << 53) - 1))
@@ -66,44 +85,31 @@ def synthetic_records(
     def whole(low: int, high: int, what: str) -> Column:
         return F.floor(low + u(what) * (high - low)).cast("int")
 
-    release = whole(0, 100, "release") % 3
-    phase = (
-        F.when(u("phase3") < 0.3, "Phase III")
-        .when(u("phase4") < 0.5, "Phase IV")
-        .when(u("approved") < 0.7, "Approved")
-        .otherwise("Phase II")
-    )
     today = as_date(as_of)
-    columns = {
+    columns = {name: F.col(name) for name in ("manufacturer", "drug_category")}
+    columns |= {
+        name: F.round(low + u(name) * (high - low), digits)
+        for name, (low, high, digits) in DECIMALS.items()
+    }
+    columns |= {name: whole(low, high, name).cast("long") for name, (low, high) in COUNTS.items()}
+    columns |= {name: choice(labels, name) for name, labels in LABELS.items()}
+    columns |= {
+        name: F.date_add(today, whole(first, last, name)) for name, (first, last) in DAYS.items()
+    }
+    rivals = other_names(F.col("name"), names, F.col("id"), V.GENERATED_COMPETITORS)
+    columns |= {
         "record_id": F.sha2(F.concat_ws("|", F.lit(seed), F.col("id")), 256),
-        "drug_name": F.concat("name", pick((" XR", " SR", ""), release)),
-        "drug_code": F.concat(F.lit("DRG-"), whole(1000, 10000, "code").cast("string")),
-        "manufacturer": F.col("manufacturer"),
-        "drug_category": F.col("drug_category"),
-        "active_ingredient": F.concat("name", F.lit("-Active")),
+        "drug_name": F.concat("name", choice(RELEASES, "release")),
+        "drug_code": F.format_string("DRG-%04d", whole(1000, 10000, "code")),
+        "active_ingredient": F.format_string("%s-Active", "name"),
         "strength": F.concat(
             choice(V.GENERATED_STRENGTHS, "strength").cast("string"), choice(V.GENERATED_UNITS, "unit")
         ),
-        "dosage_form": choice(V.GENERATED_FORMS, "form"),
-        "route_of_administration": choice(V.GENERATED_ROUTES, "route"),
         "therapeutic_class": F.concat_ws("-", "drug_category", choice(V.GENERATED_CLASSES, "class")),
-        "approval_date": F.date_sub(today, whole(0, 3650, "approval")),
-        "patent_expiry_date": F.date_add(today, whole(365, 4015, "patent")),
-        "price": F.round(10 + u("price") * 990, 2),
-        "currency": F.lit("USD"),
-        "country": choice(V.GENERATED_COUNTRIES, "country"),
-        "clinical_trial_phase": phase,
-        "efficacy_score": F.round(0.5 + u("efficacy") * 0.5, 3),
-        "safety_score": F.round(0.4 + u("safety") * 0.6, 3),
-        "patient_count": whole(100, 10000, "patients").cast("long"),
-        "adverse_events": whole(0, 100, "events").cast("long"),
-        "market_share": F.round(u("share") * 0.5, 3),
-        "competitor_drugs": F.array_join(
-            other_names(F.col("name"), names, F.col("id"), V.GENERATED_COMPETITORS), ", "
-        ),
-        "ingestion_timestamp": F.date_sub(today, whole(0, 30, "ingested")).cast("timestamp"),
-        "source_file": F.concat(F.lit("synthetic_batch_"), F.date_format(today, "yyyyMMdd")),
-        "raw_data": F.lit("Generated synthetic data for testing"),
+        "ingestion_timestamp": columns.pop("ingested_on").cast("timestamp"),
+        "competitor_drugs": F.array_join(rivals, ", "),
+        "source_file": F.format_string("generated/%s", today.cast("string")),
+        "raw_data": F.format_string("record %d of seed %d", "id", F.lit(seed)),
     }
     kept = base.where(u("keep") < V.GENERATED_SAMPLE_RATE)
     return kept.select(*[columns[name].alias(name) for name in schemas.RAW.names])

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxstrata import fixed_values as V
 from rxstrata import schemas
 from rxstrata.functions.columns import exact_mean, exact_sum
+from rxstrata.session import file_system
 
 REDELIVERY = "600 seconds"
 RETENTION = "7 days"
@@ -23,7 +22,8 @@ def read_table_stream(
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if os.path.isfile(path):
+    fs, at = file_system(spark, path)
+    if fs.getFileStatus(at).isFile():
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return reader.parquet(path)
 
@@ -39,7 +39,8 @@ def run_to_files(
     """Process all that is available now into Parquet files, and read them.
 
     Append mode with the file sink: each row is written once, whatever restarts.
-    A window is written when the watermark has passed its end.
+    A window is written when the watermark has passed its end, which suits an endless
+    stream; ``run_to_end`` gives the windows of a source that ends.
     """
     query = (
         stream.writeStream.format("parquet")
@@ -54,29 +55,71 @@ def run_to_files(
     return stream.sparkSession.read.parquet(path)
 
 
+def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """All windows of an aggregated stream whose source is used up, whatever came late.
+
+    Complete mode: every batch writes the whole small result under its own number, so a
+    repeated batch replaces itself and the highest number is the result. Nothing is
+    dropped, and state is kept per window, not per row.
+    """
+    spark = stream.sparkSession
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch:09d}")
+
+    query = (
+        stream.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+    )
+    query.awaitTermination()
+    fs, at = file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    if not names:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{path}/{max(names)}")
+
+
 def parse_ingestion(messages: DataFrame, body: str = "body") -> DataFrame:
     """Ingestion events from JSON, each with its ``outcome``.
 
-    ``rejected`` are bodies that do not parse and priorities outside the domain;
-    written with ``partition_by=("outcome",)`` they form the side table of bad rows.
+    ``rejected`` are bodies that do not parse, that lack one of the fields or have one
+    of another type, and priorities outside the domain; written with
+    ``partition_by=("outcome",)`` they form the side table of bad rows, which keep
+    their ``body`` for a replay.
     """
     parsed = messages.withColumn("event", F.from_json(body, schemas.INGESTION_EVENT))
     known = F.col("event.priority").isin(*V.EVENT_PRIORITIES)
-    accepted = F.coalesce(F.col("event.file_path").isNotNull() & known, F.lit(False))
+    for field in schemas.INGESTION_EVENT.names:
+        known = known & F.col(f"event.{field}").isNotNull()
+    accepted = F.coalesce(known, F.lit(False))
     return parsed.withColumn("outcome", F.when(accepted, "accepted").otherwise("rejected"))
 
 
 def without_redelivery(
-    events: DataFrame, key: str = "event_id", stamp: str = "ts", within: str = REDELIVERY
+    events: DataFrame, key: str = "event_id", stamp: str = "ts", within: str | None = RETENTION
 ) -> DataFrame:
-    """First delivery of each event; keys are remembered for the redelivery deadline."""
+    """First delivery of each event.
+
+    An event may be late as long as its topic keeps it, and keys are remembered that
+    long, which covers the redelivery deadline of ``REDELIVERY``. ``within=None`` takes
+    events of any age and remembers every key, for sources that end.
+    """
+    if within is None:
+        return events.dropDuplicates([key])
     return events.withWatermark(stamp, within).dropDuplicatesWithinWatermark([key])
 
 
 def tumbling(
     events: DataFrame, length: str, late_by: str, /, stamp: str = "ts", **aggregates: Column
 ) -> DataFrame:
-    """Tumbling-window aggregates; on a stream, rows later than ``late_by`` are dropped."""
+    """Tumbling-window aggregates.
+
+    Run in append mode, a stream drops rows later than ``late_by``, by default the time
+    that a topic keeps them; run to its end in complete mode it drops none.
+    """
     grouped = events.withWatermark(stamp, late_by).groupBy(F.window(stamp, length).alias("span"))
     aliased = [column.alias(name) for name, column in aggregates.items()]
     return grouped.agg(*aliased).select(
@@ -84,14 +127,14 @@ def tumbling(
     )
 
 
-def volume(events: DataFrame, late_by: str = "0 seconds") -> DataFrame:
+def volume(events: DataFrame, late_by: str = RETENTION) -> DataFrame:
     """Events and events per second of each 60 seconds."""
     counts = tumbling(events, V.VOLUME_WINDOW, late_by, events=F.count(F.lit(1)))
     return counts.withColumn("per_second", F.col("events") / F.lit(V.VOLUME_WINDOW_SECONDS))
 
 
 def mean_of(
-    events: DataFrame, metric: str, digits: int = 6, late_by: str = "0 seconds"
+    events: DataFrame, metric: str, digits: int = 6, late_by: str = RETENTION
 ) -> DataFrame:
     """Mean of a metric over each 300 seconds."""
     return tumbling(events, V.QUALITY_WINDOW, late_by, mean=exact_mean(metric, digits))
@@ -119,7 +162,7 @@ def incidents(breaches: DataFrame, close_after: str = V.INCIDENT_CLOSE) -> DataF
 
 def error_gauge(
     events: DataFrame, severity: str = "event_type", error: str = "error", payload: str = "props",
-    path: str = "$.k", late_by: str = "0 seconds",
+    path: str = "$.k", late_by: str = RETENTION,
 ) -> DataFrame:
     """Errors reported in the JSON payload over each 300 seconds."""
     reported = F.get_json_object(payload, path).try_cast("long")

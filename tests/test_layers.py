@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from helpers import DAY, raw_rows
 from rxstrata import fixed_values as V
-from rxstrata import schemas
-from rxstrata.operators.validation import validate
+from rxstrata import schemas, session
+from rxstrata.functions.columns import exact_mean, exact_sum
+from rxstrata.operators.lookup import attach
+from rxstrata.operators.validation import price_in_usd, validate
 from rxstrata.plans import reports, runs
 from rxstrata.sinks import layers, tables
 from rxstrata.sources import files, generator
@@ -73,6 +75,97 @@ def test_runs_fill_every_layer_and_are_safe_to_repeat(spark, store):
     assert {r.total_records for r in ledger} == {3} and len({r.run_id for r in ledger}) == 4
 
 
+def day_counts(store):
+    return {name: store.read(name, DAY).count() for name in ("validated", "enriched", "summary")}
+
+
+BAD = {"drug_name": None, "price": -1.0, "strength": None, "approval_date": None, "efficacy_score": 7.0}
+
+
+@pytest.mark.parametrize(
+    "second, want",
+    [
+        ([{}], (1, 1, 1)),
+        ([BAD], (1, 0, 0)),
+        ([], (0, 0, 0)),
+    ],
+)
+def test_a_second_run_leaves_only_its_rows(spark, store, second, want):
+    """A day that shrinks, fails whole, or has become empty; other days stay."""
+    runs.run_validation(store, dt.date(2001, 5, 31), raw_rows(spark, {}))
+    runs.run_validation(store, DAY, raw_rows(spark, {}, {"country": "Brazil"}, {}))
+    runs.run_enrichment(store, dt.date(2001, 5, 31))
+    runs.run_enrichment(store, DAY)
+    assert day_counts(store)["validated"] == 3
+    raw = raw_rows(spark, *second) if second else raw_rows(spark, {}).where("false")
+    report = runs.run_validation(store, DAY, raw).first()
+    runs.run_enrichment(store, DAY)
+    assert tuple(day_counts(store).values()) == want and report.total_records == want[0]
+    metric = store.read("quality_metrics", DAY).collect()
+    assert [m.details for m in metric] == [f"Processed {want[0]} records"]
+    assert store.read("validated").count() == want[0] + 1 and store.read("enriched").count() == want[1] + 1
+
+
+def test_a_failing_run_is_in_the_ledger(spark, store):
+    with pytest.raises(Exception, match="no_such"):
+        runs.run_validation(store, DAY, raw_rows(spark, {}).withColumn("price", F.expr("raise_error('no_such')").cast("double")))
+    row = store.read("pipeline_runs").first()
+    assert row.status == "FAILED" and "no_such" in row.error_details and row.total_records is None
+
+
+def test_runs_leave_only_their_layers(spark, store):
+    fs, at = session.file_system(spark, session.shared_dir(spark))
+    folder = f"{session.shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+    def staged():
+        fs, at = session.file_system(spark, folder)
+        return {s.getPath().getName() for s in fs.listStatus(at)} if fs.exists(at) else set()
+
+    before = staged()
+    runs.run_validation(store, DAY, raw_rows(spark, {}, {}))
+    runs.run_enrichment(store, DAY)
+    assert staged() == before
+    with pytest.raises(ZeroDivisionError), session.scratch(spark):
+        session.stage(raw_rows(spark, {}), "left")
+        raise ZeroDivisionError
+    assert staged() == before
+
+
+def test_values_out_of_range_neither_stop_nor_bend_a_run(spark, store):
+    odd = [{"price": x} for x in (1e21, float("inf"), float("-inf"), float("nan"), 1e-9, None)]
+    raw = raw_rows(spark, {"price": 2.0}, {"price": 4.0}, *odd)
+    runs.run_validation(store, DAY, raw)
+    totals = runs.run_enrichment(store, DAY).first()
+    assert totals.total_enriched == 8
+    values = spark.createDataFrame([(1.0,), (3.0,), (float("inf"),), (float("nan"),), (None,), (1e40,)], "x double")
+    row = values.agg(exact_mean("x").alias("mean"), exact_sum("x").alias("sum")).first()
+    assert (row["mean"], row["sum"]) == (2.0, 4.0)
+    small = spark.createDataFrame([(3e-9,), (4e-9,)], "x double")
+    assert small.agg(exact_mean("x").alias("mean")).first()["mean"] == 3.5e-9
+
+
+def test_repeated_lookup_keys_multiply_nothing(spark):
+    rows = raw_rows(spark, {"currency": "EUR"}, {"currency": "XXX"})
+    rates = spark.createDataFrame([("EUR", 2.0), ("EUR", 3.0)], "currency_code string, usd_rate double")
+    assert sorted(r.price_usd for r in price_in_usd(rows, rates).collect()) == [100.0, 200.0]
+    names = spark.createDataFrame([("USA", "b"), ("USA", "a")], "k string, v string")
+    assert {r.code for r in attach(rows, names, "country", "k", "v", "code").collect()} == {"a"}
+    assert attach(rows, names, "country", "k", "v", "code").count() == 2
+
+
+def test_latest_date_and_expiry_by_folder_names(spark, store):
+    layer = schemas.LAYERS["raw"]
+    assert files.stored_days(spark, store.path("raw"), layer) == []
+    store.write("raw", stamped(spark, 1, 2, 2, 3))
+    assert store.read_latest("raw").count() == 1
+    assert store.read_latest("raw", "2001-06-02").count() == 2
+    assert store.read_latest("raw", "2001-05-01").count() == 0
+    plan = store.read_latest("raw", "2001-06-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "Subquery" not in plan
+    gone = layers.drop_expired(spark, store.path("raw"), layer, "2001-06-03", 1)
+    assert gone == [dt.date(2001, 6, 1)] and store.read("raw").count() == 3
+
+
 def test_layer_schemas_round_trip(spark, store):
     store.write("raw", stamped(spark, 1))
     runs.run_validation(store, DAY)

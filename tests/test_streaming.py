@@ -73,6 +73,31 @@ def test_stream_equals_batch(spark, tmp_path, run):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
+def test_used_up_source_keeps_every_window_and_late_row(spark, tmp_path):
+    """Batches in any order of time: nothing is dropped, the last window is there."""
+    far = 40 * 86_400
+    for seconds in (far, 5, far // 2, 59, far + 3):
+        write(spark, tmp_path, event(seconds, seconds))
+    stream = ev.instants(ev.read_table_stream(spark, str(tmp_path), "events", 1))
+    paths = str(tmp_path / "out"), str(tmp_path / "ck")
+    rows = ev.run_to_end(ev.volume(stream), *paths).collect()
+    got = {int((r.window_start - START).total_seconds()): r.events for r in rows}
+    assert got == {0: 2, far // 2 // 60 * 60: 1, far: 2}
+    write(spark, tmp_path, event(7, 7))
+    again = ev.run_to_end(ev.volume(stream), *paths).collect()
+    assert sum(r.events for r in again) == 6
+
+
+def test_first_deliveries_of_any_age_stay(spark, tmp_path):
+    for i, seconds in ((1, 40 * 86_400), (2, 0), (1, 40 * 86_400), (3, 86_400)):
+        write(spark, tmp_path, event(i, seconds))
+    stream = ev.instants(ev.read_table_stream(spark, str(tmp_path), "events", 1))
+    rows = ev.run_to_files(
+        ev.without_redelivery(stream, within=None), str(tmp_path / "out"), str(tmp_path / "ck")
+    )
+    assert sorted(r.event_id for r in rows.collect()) == [1, 2, 3]
+
+
 def test_alert_sides(spark):
     means = spark.createDataFrame([(0.79,), (0.8,), (0.81,), (None,)], "mean double")
     assert [r.mean for r in ev.alerts(means, 0.8).collect()] == [0.79]
@@ -100,7 +125,7 @@ def test_error_gauge_reads_json(spark, tmp_path, run):
         event(3, 20, props='{"k": 50}'), event(4, 30, kind="error", props='{"k": 4}'),
         event(5, 9000, kind="error", props='{"k": 1}'),
     )
-    rows = run(ev.error_gauge).collect()
+    rows = run(lambda s: ev.error_gauge(s, late_by="0 seconds")).collect()
     assert [(r.error_events, r.error_count) for r in rows] == [(3, 7)]
 
 
@@ -113,13 +138,15 @@ def test_ingestion_events_split_good_from_bad(spark, tmp_path, run):
         spark, tmp_path,
         event(1, 0, props=body("HIGH")), event(2, 1, props=body("high")),
         event(3, 2, props="not json"), event(4, 3, props=None), event(5, 4, props="{}"),
+        event(6, 5, props='{"file_path":"a","priority":"LOW"}'),
+        event(7, 6, props=body("LOW").replace('"file_size": 1', '"file_size": "big"')),
     )
 
     def job(stream):
         return ev.parse_ingestion(stream, "props").select("event_id", "event", "outcome")
 
     got = {r.event_id: r.outcome for r in run(job, ("outcome",)).collect()}
-    assert got == {1: "accepted", 2: "rejected", 3: "rejected", 4: "rejected", 5: "rejected"}
+    assert got == {1: "accepted", **{i: "rejected" for i in range(2, 8)}}
     accepted = spark.read.parquet(str(tmp_path / "out/outcome=accepted"))
     assert accepted.first().event.priority == "HIGH"
 
