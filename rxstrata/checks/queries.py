@@ -407,7 +407,7 @@ def jn_04_other_names(spark, folder):
 @query
 def jn_05_quartiles_on_rows(spark, folder):
     rows = batch(spark, folder)
-    limits = en.price_quartiles(dist.distribution(rows, en.PRICE)).select(F.struct("p25", "p50", "p75")).scalar()
+    limits = en.price_quartiles(rows).select(F.struct("p25", "p50", "p75")).scalar()
     return rows.select("record_id", "price_usd", *[limits[q].alias(q) for q in ("p25", "p50", "p75")])
 
 
@@ -500,7 +500,7 @@ def ag_08_top_names(spark, folder):
 
 @query
 def ag_09_price_quartiles(spark, folder):
-    return en.price_quartiles(dist.distribution(batch(spark, folder), en.PRICE))
+    return en.price_quartiles(batch(spark, folder))
 
 
 @query
@@ -756,7 +756,7 @@ def en_04_patent_status(spark, folder):
 @query
 def en_05_price_tier(spark, folder):
     rows = batch(spark, folder)
-    quartiles = en.price_quartiles(dist.distribution(rows, en.PRICE))
+    quartiles = en.price_quartiles(rows)
     return en.add_price_tier(rows, quartiles).select("record_id", "price_tier")
 
 

@@ -11,6 +11,7 @@ plus the totals of the slices before it.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -155,6 +156,38 @@ def distribution(df: DataFrame, *measures: Measure) -> Distribution:
     return Distribution(groups, sliced, stage(slices, "slices"))
 
 
+def exact_quantiles(df: DataFrame, value: str, accuracy: int = 1000, **at: float) -> DataFrame:
+    """One row: the least value that a share of the rows does not exceed, per share.
+
+    The same as ``quantiles`` of a single group, without counting every value: a sketch
+    brackets each quantile, one aggregate counts the rows below each bracket, and only
+    rows inside (a few in ``accuracy``) are counted per value. The sketch's rank is off
+    by at most ``1 / accuracy``, so brackets of twice that hold the quantile for sure.
+    NULLs are left out; without values every quantile is NULL. ``df`` is read three
+    times, one column of it, so pass a written table.
+    """
+    values = df.select(F.col(value).cast("double").alias("value")).where("value IS NOT NULL")
+    slack = 2 / accuracy
+    edges = [min(max(q + d, 0.0), 1.0) for q in at.values() for d in (-slack, slack)]
+    found = values.agg(
+        F.count(F.lit(1)), F.percentile_approx("value", F.array(*map(F.lit, edges)), accuracy)
+    ).first()
+    rows, bounds = found[0], found[1] or []
+    if not rows:
+        return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(n) for n in at])
+    brackets = dict(zip(at, zip(bounds[::2], bounds[1::2], strict=True), strict=True))
+    below = values.agg(*[F.count_if(F.col("value") < low) for low, _ in brackets.values()]).first()
+    inside = F.array_compact(
+        F.array(*[F.when(F.col("value").between(low, high), F.lit(n)) for n, (low, high) in brackets.items()])
+    )
+    near = values.select("value", F.explode(inside).alias("bracket"))
+    measure = Measure("quantile", "value", by=("bracket",), keep_nulls=False)
+    place = {n: math.ceil(rows * q) - before for (n, q), before in zip(at.items(), below, strict=True)}
+    wanted = F.create_map(*[F.lit(x) for item in place.items() for x in item])[F.col("bracket")]
+    picked = distribution(near, measure).values_at(measure, found=wanted)
+    return picked.agg(*[F.max(F.when(F.col("bracket") == n, F.col("found"))).alias(n) for n in at])
+
+
 def percent_rank() -> Column:
     """``PERCENT_RANK() OVER (PARTITION BY group ORDER BY value NULLS FIRST)``."""
     others = F.col("rows_total") - 1

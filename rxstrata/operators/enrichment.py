@@ -16,14 +16,13 @@ from rxstrata.session import stage
 
 Day = str | dt.date | Column
 
-PRICE = dist.Measure("price", "price_usd", keep_nulls=False)
 EFFICACY = dist.Measure("efficacy", "efficacy_score", by=("drug_category",))
 SHARE = dist.Measure("share", "market_share", by=("drug_category",))
 
 
 def measure_batch(validated: DataFrame) -> dist.Distribution:
     """Price, efficacy and share distributions of the batch, in one pass over it."""
-    return dist.distribution(validated, PRICE, EFFICACY, SHARE)
+    return dist.distribution(validated, EFFICACY, SHARE)
 
 
 def add_classification(df: DataFrame) -> DataFrame:
@@ -50,12 +49,13 @@ def add_patent_status(df: DataFrame, as_of: Day) -> DataFrame:
     return df.withColumn("patent_status", banded(days_left, V.PATENT_BANDS, V.PATENT_BEYOND))
 
 
-def price_quartiles(measured: dist.Distribution) -> DataFrame:
+def price_quartiles(batch: DataFrame) -> DataFrame:
     """One row with the exact quartiles ``p25``, ``p50`` and ``p75`` of the price.
 
     Written, so that it is computed once however often a plan refers to it.
     """
-    quartiles = measured.quantiles(PRICE, **{f"p{int(100 * q)}": q for q in V.QUARTILES})
+    shares = {f"p{int(100 * q)}": q for q in V.QUARTILES}
+    quartiles = dist.exact_quantiles(batch, "price_usd", **shares)
     return stage(quartiles, "quartiles")
 
 
@@ -206,7 +206,7 @@ def enrich(
     enriched = (
         batch.transform(add_classification)
         .transform(add_patent_status, as_of)
-        .transform(add_price_tier, price_quartiles(measured))
+        .transform(add_price_tier, price_quartiles(batch))
         .transform(add_development_stage)
         .transform(add_region)
         .transform(add_efficacy_percentile, positions)

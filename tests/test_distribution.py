@@ -54,6 +54,18 @@ def test_quantiles_equal_percentile_disc(rows):
     assert got == want
 
 
+@pytest.mark.parametrize("accuracy", [20, 1000])
+@pytest.mark.parametrize("value", ["x", "id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END", "0 * id", "if(id < 3, id, NULL)"])
+def test_bracketed_quantiles_are_exact(rows, value, accuracy):
+    """Skewed, distinct, constant and few values; the ends as well as the middle."""
+    at = {"lowest": 0.0001, "a": 0.25, "b": 0.5, "c": 0.75, "highest": 1.0}
+    table = rows.selectExpr(f"cast({value} AS double) AS v")
+    got = dist.exact_quantiles(table, "v", accuracy, **at).first()
+    want = table.selectExpr(*[f"percentile_disc({p}) WITHIN GROUP (ORDER BY v) AS {n}" for n, p in at.items()])
+    assert got == want.first()
+    assert list(dist.exact_quantiles(table.where("false"), "v", **at).first()) == [None] * 5
+
+
 def test_medians_equal_percentile(rows):
     measure = dist.Measure("m", "x", by=("k",), keep_nulls=False)
     got = dist.distribution(rows, measure).medians(measure, "median")
