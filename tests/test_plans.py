@@ -1,5 +1,6 @@
 """Physical plans: broadcasts, shuffles and pruning as intended."""
 
+import pytest
 from rxstrata.checks import queries as q
 from rxstrata.operators import enrichment as en
 from rxstrata.plans import contracts, views
@@ -52,3 +53,13 @@ def test_competition_counts_before_it_joins(spark):
     rows = contracts.standardise(q._bronze(spark, FOLDER))
     text = plan(contracts.competition(rows))
     assert "partial_count" in text and "Join" not in text
+
+
+@pytest.mark.parametrize(
+    "name", ["vw_02_common_errors", "vw_03_market_analysis", "vw_08_drug_risk_matrix", "dq_03_top_revenue", "dq_12_validation_today"]
+)
+def test_views_prune_to_their_date(spark, name):
+    """The stored layers hold three dates; a view reads one partition of them."""
+    text = plan(q.QUERIES[name](spark, FOLDER))
+    assert "PartitionFilters: [isnotnull(enrichment_date" in text or "PartitionFilters: [isnotnull(validation_date" in text
+    assert q.validated_days(spark, FOLDER).select("validation_date").distinct().count() == 3
