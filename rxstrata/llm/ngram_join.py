@@ -537,6 +537,20 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets are one node however often they occur. An empty table gives no rows, and other
     columns are not read.
     """
+    rows, nodes = _with_roots(docs, id_col, text_col, words, percent)
+    ids = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = nodes.join(ids, "root").select("node", "component_id")
+    return rows.join(named, "node", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "node",
+    )
+
+
+def _with_roots(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The summaries of the documents; and node, first (its smallest id), root of every
+    node. A component is known by its root: ids may be null or in several components."""
     rows = stage(summaries(docs, id_col, text_col, words), "summaries")
     roots = components(links(docs, text_col, words, percent))
     nodes = (
@@ -546,15 +560,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(roots, "node", "left")
         .select("node", "first", F.coalesce("root", "node").alias("root"))
     )
-    nodes = stage(nodes, "nodes")
-    ids = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = nodes.join(ids, "root").select("node", "component_id")
-    return rows.join(named, "node", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        "node",
-    )
+    return rows, stage(nodes, "nodes")
 
 
 def with_nodes(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -577,23 +583,24 @@ def with_nodes(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> D
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One document of each component stays, with all its columns: the smallest id.
+    """One document of each component stays, with all its columns: the smallest id, or a
+    null one where there is no other.
 
     Documents without words all stay. Of repeated rows with that id and the same set the
     one with the smallest hash of all columns stays.
     """
-    named = join_components(docs, id_col, text_col, words, percent)
-    first = named.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows, nodes = _with_roots(docs, id_col, text_col, words, percent)
+    smallest = F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("kept")
     keepers = (
-        first.filter("node IS NOT NULL")
-        .groupBy("component_id")
-        .agg(F.min("node").alias("node"))
-        .unionByName(first.filter("node IS NULL").select("component_id", "node").distinct())
+        nodes.groupBy("root")
+        .agg(smallest)
+        .select("kept.first", "kept.node")
+        .unionByName(rows.filter("node IS NULL").select(F.col("doc_id").alias("first"), "node").distinct())
     )
     marked = with_nodes(docs, text_col, words).withColumn("_id", F.col("_doc").getField(id_col).cast("long"))
     kept = marked.join(
         keepers,
-        F.col("_id").eqNullSafe(F.col("component_id")) & F.col("_node").eqNullSafe(F.col("node")),
+        F.col("_id").eqNullSafe(F.col("first")) & F.col("_node").eqNullSafe(F.col("node")),
         "left_semi",
     )
     same = Window.partitionBy("_id", "_node").orderBy(F.xxhash64("_doc"))

@@ -77,6 +77,16 @@ def test_null_and_repeated_ids(documents):
     ]
 
 
+def test_unlinked_texts_stay_whatever_their_ids(documents):
+    """Components without any id, and components that share an id, each keep one text."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(50)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b.replace("b49", "other")), (7, c), (7, d), (7, d), (8, d.replace("d49", "other"))]
+    kept = ngram_join.drop_near_copies(documents(*[(i, t, "s") for i, t in rows])).collect()
+    assert sorted((str(r.doc_id), r.text[:2]) for r in kept) == [
+        ("7", "c0"), ("7", "d0"), ("None", "a0"), ("None", "b0"),
+    ]
+
+
 def test_one_of_each_component_stays(documents):
     texts = corpus(3)[:200]
     docs = documents(*texts)
