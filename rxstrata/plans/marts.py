@@ -39,7 +39,7 @@ def summary_totals(enriched: DataFrame) -> DataFrame:
         F.sum("adverse_events").alias("events"),
         F.try_sum(fixed_point("predicted_revenue")).alias("revenue"),
         *[F.try_sum(fixed_point(c)).alias(f"{name}_sum") for name, c in sums.items()],
-        *[F.count(c).alias(f"{name}_count") for name, c in sums.items()],
+        *[F.count(fixed_point(c)).alias(f"{name}_count") for name, c in sums.items()],
         *[F.bool_or(F.coalesce(flag, F.lit(False))).alias(name) for name, flag in flags.items()],
     )
 

@@ -9,7 +9,7 @@ from rxstrata import schemas, session
 from rxstrata.functions.columns import exact_mean, exact_sum
 from rxstrata.operators.lookup import attach
 from rxstrata.operators.validation import price_in_usd, validate
-from rxstrata.plans import reports, runs
+from rxstrata.plans import marts, reports, runs
 from rxstrata.sinks import layers, tables
 from rxstrata.sources import files, generator
 from rxstrata.sources.commerce import raw_records
@@ -144,6 +144,22 @@ def test_values_out_of_range_neither_stop_nor_bend_a_run(spark, store):
     assert small.agg(exact_mean("x").alias("mean")).first()["mean"] == 3.5e-9
 
 
+def test_summary_means_count_what_they_sum(spark):
+    keys = ", ".join(f"{k} string" for k in marts.SUMMARY_KEYS)
+    inf, nan = float("inf"), float("nan")
+    measures = ("efficacy_score", "safety_score", "adverse_event_rate", "price_usd")
+    odd = [1.0, 3.0, inf, -inf, nan, 1e40, None]
+    rows = spark.createDataFrame(
+        [("c", "t", "r", name, x, x, x, x) for name in ("a", "b") for x in odd] + [("c", "t", "none", "a", inf, nan, None, 1e40)],
+        f"{keys}, drug_name string, " + ", ".join(f"{m} double" for m in measures),
+    ).selectExpr(
+        "*", "1L AS patient_count", "1L AS adverse_events", "1.0D AS predicted_revenue",
+        "'x' AS development_stage", "'x' AS patent_status", "'x' AS risk_category",
+    )
+    means = {r.region: [r[f"avg_{m}"] for m in measures] for r in marts.summary_totals(rows).collect()}
+    assert means == {"r": [2.0] * 4, "none": [None] * 4}
+
+
 def test_repeated_lookup_keys_multiply_nothing(spark):
     rows = raw_rows(spark, {"currency": "EUR"}, {"currency": "XXX"})
     rates = spark.createDataFrame([("EUR", 2.0), ("EUR", 3.0)], "currency_code string, usd_rate double")
