@@ -13,8 +13,8 @@ copies cost nothing after the first pass:
    which scanning lists becomes cheaper than enumerating subsets is the boundary.
    Every linked pair shares a list.
 4. ``links``: each node is compared with the most central node of its lists; what is
-   not connected by that is compared in blocks per centre, by scanning lists of all
-   shared n-grams, which counts exact intersections.
+   not connected by that is compared per centre, in a grid of bounded slices and blocks,
+   by scanning lists of all shared n-grams, which counts exact intersections.
 5. Components of the links.
 
 N-grams are compared by 48 bits of their hash, which matters only within a pair.
@@ -42,7 +42,7 @@ WORDS = 5
 PERCENT = 75
 KEY_BITS = 48
 CHUNK = 4_000_000  # n-grams that a task indexes at a time
-BLOCK_BYTES = 32_000_000  # n-grams of one centre compared in a task, in bytes
+BLOCK_BYTES = 32_000_000  # n-grams of one centre that a task holds, and that ask there, in bytes
 
 
 def text_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -413,87 +413,137 @@ def star_links(assigned: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
     return pairs.select("node", "centre", "n", "keys", "m", "centre_keys").mapInArrow(run, "a long, b long")
 
 
-def block_links(cells: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b: links between the parts of each centre's neighbourhood that stars left apart.
+def dealt_cells(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """centre, block, slice, node, part, asks, member: the comparisons of ``block_links``.
 
-    ``cells`` has centre, node, part. A pair of different parts has a node outside the
-    centre's part; those are compared with everyone. Large neighbourhoods are dealt over
-    blocks of a bounded number of bytes, and their comparing nodes go to every block.
+    A pair of different parts has a node outside the centre's part; those ask, and are
+    compared with every member. Members are dealt over blocks and asking nodes over
+    slices of about ``BLOCK_BYTES`` of n-grams (by a hash, and a set stays whole), so
+    each task of the grid of slices and blocks holds one block and reads one slice.
     """
     sized = cells.join(sets.select("node", "c"), "node")
+    per_part = sized.groupBy("centre", "part").agg(
+        F.sum("c").alias("c"), F.bool_or(F.col("node") == F.col("centre")).alias("has_centre")
+    )
+
+    def groups(size):
+        return F.greatest(F.ceil(F.coalesce(size, F.lit(0)) * 8 / BLOCK_BYTES), F.lit(1)).cast("int")
+
     open_cells = (
-        sized.groupBy("centre")
+        per_part.groupBy("centre")
         .agg(
-            F.min("part").alias("low"),
-            F.max("part").alias("high"),
-            F.max(F.when(F.col("node") == F.col("centre"), F.col("part"))).alias("home"),
-            F.ceil(F.sum("c") * 8 / BLOCK_BYTES).cast("int").alias("blocks"),
+            F.count("*").alias("parts"),
+            F.max(F.when(F.col("has_centre"), F.col("part"))).alias("home"),
+            groups(F.sum("c")).alias("blocks"),
+            groups(F.sum(F.when(~F.col("has_centre"), F.col("c")))).alias("slices"),
         )
-        .filter("low <> high")
-        .drop("low", "high")
+        .filter("parts > 1")
+        .drop("parts")
     )
-    members = cells.join(open_cells, "centre").withColumn(
-        "asks", ~F.col("part").eqNullSafe(F.col("home"))
+    members = cells.join(open_cells, "centre").select(
+        "centre", "node", "part", "blocks", "slices",
+        (~F.col("part").eqNullSafe(F.col("home"))).alias("asks"),
+        F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int").alias("own_block"),
+        F.pmod(F.xxhash64("node", F.lit(1)), F.col("slices").cast("long")).cast("int").alias("own_slice"),
     )
-    home = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = members.select(
-        "centre", "node", "part", "asks", home.alias("home_block"),
-        F.explode(F.when(F.col("asks"), everywhere).otherwise(F.array(home))).alias("block"),
+
+    def cell(block, slice_, asks, member):
+        return F.struct(block.alias("block"), slice_.alias("slice"), asks.alias("asks"), member.alias("member"))
+
+    block, own = F.col("own_block"), F.col("own_slice")
+    as_member = F.transform(
+        F.sequence(F.lit(0), F.col("slices") - 1), lambda s: cell(block, s, F.col("asks") & (s == own), F.lit(True))
     )
-    rows = dealt.join(sets.select("node", "n", "keys"), "node").select(
-        "centre", "block", "node", "part", "asks", (F.col("home_block") == F.col("block")).alias("member"), "n", "keys"
+    elsewhere = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != block)
+    asking = F.transform(elsewhere, lambda b: cell(b, own, F.lit(True), F.lit(False)))
+    return members.select(
+        "centre", "node", "part", F.explode(F.when(F.col("asks"), F.concat(as_member, asking)).otherwise(as_member)).alias("cell")
+    ).select("centre", "cell.block", "cell.slice", "node", "part", "cell.asks", "cell.member")
+
+
+def block_links(cells: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b: links between the parts of each centre's neighbourhood that stars left apart.
+
+    ``cells`` has centre, node, part. A task keeps the members of its block, which come
+    first, and compares the asking nodes of its slice as they come.
+    """
+    rows = dealt_cells(cells, sets).join(sets.select("node", "n", "keys"), "node").select(
+        "centre", "block", "slice", "node", "part", "asks", "member", "n", "keys"
     )
 
-    def compare(rows):
-        member = [r for r in rows if r[3]]
-        if not member:
-            return []
-        own = [np.frombuffer(r[5], "<u8") for r in member]
-        keys = np.concatenate(own)
-        owner = np.repeat(np.arange(len(own)), [len(k) for k in own])
-        order = np.argsort(keys, kind="stable")
-        keys, owner = keys[order], owner[order]
-        sizes = np.array([r[4] for r in member])
-        parts = np.array([r[1] for r in member])
-        found = []
-        for node, part, asks, _, n, raw in rows:
-            if not asks:
-                continue
+    class Block:
+        """An inverted index of the members of a block."""
+
+        def __init__(self, member):
+            own = [np.frombuffer(r[-1], "<u8") for r in member]
+            keys = np.concatenate(own)
+            owner = np.repeat(np.arange(len(own)), [len(k) for k in own])
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.owner = keys[order], owner[order]
+            self.nodes = [r[0] for r in member]
+            self.parts = np.array([r[1] for r in member])
+            self.sizes = np.array([r[4] for r in member])
+
+        def links(self, node, part, n, raw):
             ask = np.frombuffer(raw, "<u8")
-            first, last = np.searchsorted(keys, ask), np.searchsorted(keys, ask, side="right")
+            first, last = np.searchsorted(self.keys, ask), np.searchsorted(self.keys, ask, side="right")
             length = last - first
             skip = np.cumsum(length) - length
             at = np.arange(int(length.sum())) - np.repeat(skip, length) + np.repeat(first, length)
-            inter = np.bincount(owner[at], minlength=len(own))
-            hit = np.flatnonzero(similar(inter, n, sizes, percent) & (parts != part))
+            inter = np.bincount(self.owner[at], minlength=len(self.nodes))
+            hit = np.flatnonzero(similar(inter, n, self.sizes, percent) & (self.parts != part))
             # one link to each part connects as well as all of them
-            _, some = np.unique(parts[hit], return_index=True)
-            found += [(node, member[k][0]) for k in hit[some]]
-        return found
+            _, some = np.unique(self.parts[hit], return_index=True)
+            return [(node, self.nodes[k]) for k in hit[some]]
+
+    def asked(rows):
+        """The links of each asking row; the rows of a cell are together, members first."""
+        current, member, block = None, [], None
+
+        def of_members():
+            index = Block(member)
+            return index, [x for node, part, asks, _, n, raw in member if asks for x in index.links(node, part, n, raw)]
+
+        for centre, number, share, *row in rows:
+            if (centre, number, share) != current:
+                if member and block is None:
+                    yield of_members()[1]
+                current, member, block = (centre, number, share), [], None
+            if row[3]:
+                member.append(row)
+            elif member:
+                if block is None:
+                    block, found = of_members()
+                    yield found
+                yield block.links(row[0], row[1], row[4], row[5])
+        if member and block is None:
+            yield of_members()[1]
+
+    def singly(batches):
+        for batch in batches:
+            for part in slices(batch, text_sizes(batch.column(8))):
+                yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
 
     def run(batches):
-        current, held = None, []
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for centre, block, *row in zip(*columns, strict=True):
-                if (centre, block) != current:
-                    yield from emitted(compare(held))
-                    current, held = (centre, block), []
-                held.append(row)
-        yield from emitted(compare(held))
+        found = []
+        for some in asked(singly(batches)):
+            found += some
+            if len(found) >= 10_000:
+                yield emitted(found)
+                found = []
+        if found:
+            yield emitted(found)
 
     def emitted(found):
-        if found:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
-                names=["a", "b"],
-            )
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
+            names=["a", "b"],
+        )
 
     parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.repartition(parts, "centre", "block")
-        .sortWithinPartitions("centre", "block")
+        rows.repartition(parts, "centre", "block", "slice")
+        .sortWithinPartitions("centre", "block", "slice", F.desc("member"))
         .mapInArrow(run, "a long, b long")
     )
 

@@ -64,6 +64,31 @@ def test_small_blocks_and_other_boundaries(documents, monkeypatch):
         check(docs, rows)
 
 
+def test_a_hot_list_of_unlike_sets_is_compared_in_bounded_cells(spark, documents, monkeypatch):
+    """Texts put together from common passages: all ask, and each cell stays small."""
+    rng = random.Random(6)
+    passages = [" ".join(f"p{k}x{i}" for i in range(20)) for k in range(12)]
+    texts = [" ".join(rng.sample(passages, 8)) for _ in range(150)]
+    texts += [t + " end" for t in texts[:40]]
+    limit = 40_000
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", limit)
+    seen = []
+    deal = ngram_join.dealt_cells
+    monkeypatch.setattr(ngram_join, "dealt_cells", lambda cells, sets: seen.append((deal(cells, sets), sets)) or seen[0][0])
+    rows = list(enumerate(texts))
+    check(documents(*texts), rows)
+    dealt, sets = seen[0]
+    size = F.col("c") * 8
+    cells = (
+        dealt.join(sets.select("node", "c"), "node")
+        .groupBy("centre", "block", "slice")
+        .agg(F.sum(F.when(F.col("member"), size)).alias("held"), F.sum(F.when(F.col("asks"), size)).alias("asking"))
+    )
+    largest = cells.agg(F.max("held"), F.max("asking"), F.max("slice"), F.max("block")).first()
+    # hashing deals sets unevenly; all that ask are 150,000 bytes and more
+    assert largest[0] < 2 * limit and largest[1] < 2 * limit and largest[2] >= 3 and largest[3] >= 3
+
+
 def test_null_and_repeated_ids(documents):
     long = " ".join(f"v{i}" for i in range(50))
     near = long.replace("v49", "other")
