@@ -23,12 +23,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = stage(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "links"
     )
-    before = None
+    before = earlier = None
     while True:
         state = _fingerprint(edges)
-        if state == before:
+        # different edges may agree in the fingerprint; as many distinct ones are compared
+        if state == before and edges.count() == earlier.count() and edges.exceptAll(earlier).isEmpty():
             break
-        before = state
+        before, earlier = state, edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rxstrata.llm import components as components_module
 from rxstrata.llm import ngram_join
 from rxstrata.llm.components import components
 
@@ -164,3 +165,9 @@ def test_components_of_chains_and_stars(spark):
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {(r.node, r.root) for r in got} == {(x, root(x)) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_equal_fingerprints_do_not_end_the_rounds(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "_fingerprint", lambda edges: 1)
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {(r.node, r.root) for r in components(links).collect()} == {(i, 0) for i in range(41)}
