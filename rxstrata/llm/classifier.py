@@ -120,8 +120,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_r
     """A model from labelled documents outside the held-out fold.
 
     At most ``sample_rows`` labelled ids, the smallest by hash, are joined with their
-    whole texts; their hashed features are what reaches the driver. Null labels are
-    left out, of contradicting labels the larger counts. Without labelled rows every
+    whole texts; their hashed features, one row an id (of a repeated id the smallest),
+    are what reaches the driver. Null labels are left out, of contradicting labels the larger counts. Without labelled rows every
     score is one half. Labels, lang, source and doc_id are no inputs of a score.
     """
     chosen = (
@@ -153,6 +153,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_r
     sample = (
         texts.select(F.col("_id").cast("long"), "_label", "_text")
         .mapInArrow(run, "id long, label int, features binary, shares binary")
+        # an id may be repeated: one row of each, so that sample_rows bounds what is collected
+        .groupBy("id", "label")
+        .agg(F.min(F.struct("features", "shares")).alias("row"))
+        .select("id", "label", "row.features", "row.shares")
         .collect()
     )
     # an order of its own, so that the model does not depend on how rows arrive

@@ -108,6 +108,19 @@ def test_model_without_labels_and_clashing_columns(spark, documents):
     assert classifier.with_scores(documents(), model).count() == 0
 
 
+def test_repeated_ids_bring_one_row_each_to_the_driver(spark, documents, monkeypatch):
+    got = []
+    monkeypatch.setattr(classifier, "fit_ftrl", lambda rows, labels, bits: got.append((rows, list(labels))))
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:10]
+    docs = documents(*[(i, f"text {i} number {n}", "s") for i in ids for n in range(7 if i == ids[0] else 1)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
+    for parts in (1, 5):
+        classifier.fit(docs.repartition(parts), labels)
+    assert len(got[0][0]) == 10 and got[0][1] == got[1][1]
+    for (i, x), (j, y) in zip(got[0][0], got[1][0], strict=True):
+        assert (i == j).all() and (x == y).all()
+
+
 def test_pipeline_stages_against_brute_force(spark, documents):
     documents()
     docs = table(spark, SMALL, "documents")
