@@ -138,6 +138,53 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), y AS (
+  SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic
+  FROM labels GROUP BY doc_id
+), fails AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS failed
+  FROM d LEFT JOIN y ON d.doc_id = y.doc_id
+), c AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM fails GROUP BY part, failed
+), o(before, f, rest) AS (
+  SELECT '', '', 'ABCDE'
+  UNION ALL
+  SELECT before || f, substr(rest, i::INT, 1), replace(rest, substr(rest, i::INT, 1), '')
+  FROM (SELECT before, f, rest, unnest(range(1, length(rest) + 1)) AS i FROM o WHERE rest <> '')
+), s AS (
+  SELECT a.before || a.f || coalesce(b.tail, '') AS filter_order, length(a.before) + 1 AS step, a.before, a.f
+  FROM o a JOIN (SELECT before || f AS whole FROM o WHERE rest = '') z ON starts_with(z.whole, a.before || a.f)
+  LEFT JOIN LATERAL (SELECT substr(z.whole, length(a.before) + 2) AS tail) b ON true
+  WHERE a.f <> ''
+), r AS (
+  SELECT part, filter_order, step, f,
+         coalesce(sum(n) FILTER (NOT left_out AND NOT contains(failed, f)), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT left_out AND contains(failed, f)), 0) AS removed,
+         coalesce(sum(n) FILTER (left_out AND contains(failed, f)), 0) AS redundant,
+         coalesce(sum(n) FILTER (failed = f), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (NOT left_out AND contains(failed, f)), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT left_out AND contains(failed, f)), 0) AS toxic_lost
+  FROM (SELECT s.*, c.*, translate(failed, before, '') <> failed AS left_out FROM c, s)
+  GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM r
+"""
+
 
 def _license_rows() -> str:
     """The templates as SQL values."""
@@ -161,4 +208,5 @@ ORACLES = {
     "op6_quality_rules": OP6,
     "op9_warc": OP9,
     "op10_mixing": OP10,
+    "op13_filter_audit": OP13,
 }

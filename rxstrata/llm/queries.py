@@ -11,6 +11,7 @@ from rxstrata.llm import (
     bpe,
     classifier,
     exact_dedup,
+    filter_audit,
     license_scan,
     mixing,
     ngram_join,
@@ -101,6 +102,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return filter_audit.audit(filter_audit.failure_counts(docs, labels))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,5 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_warc,
         op10_mixing,
+        op13_filter_audit,
     )
 }
