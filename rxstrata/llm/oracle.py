@@ -138,6 +138,63 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+OP11 = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT row, lang, source, term, count(*) AS n
+  FROM (SELECT row, lang, source, unnest(w) AS term FROM d) GROUP BY ALL
+), l AS (
+  SELECT lang, term, sum(n) AS n FROM t GROUP BY lang, term HAVING count(*) >= 10
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), dense AS (
+  SELECT g.lang, g.source, l.term, l.n AS in_lang, coalesce(sum(t.n), 0) AS n
+  FROM g JOIN l ON g.lang = l.lang
+  LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = l.term
+  GROUP BY ALL
+), p AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER g + 2 * count(*) OVER g) AS p,
+         1 + (1000000000::HUGEINT * (in_lang + 2)) // (sum(in_lang) OVER g + 2 * count(*) OVER g) AS q
+  FROM dense WINDOW g AS (PARTITION BY lang, source)
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+), telling AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (FROM pairs UNION ALL FROM telling)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 OP13 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
@@ -208,5 +265,7 @@ ORACLES = {
     "op6_quality_rules": OP6,
     "op9_warc": OP9,
     "op10_mixing": OP10,
+    "op11_topk_search": OP11,
+    "op12_source_audit": OP12,
     "op13_filter_audit": OP13,
 }

@@ -16,8 +16,10 @@ from rxstrata.llm import (
     mixing,
     ngram_join,
     quality_rules,
+    source_audit,
     token_counts,
     token_files,
+    topk_search,
     warc,
 )
 
@@ -102,6 +104,14 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(table(spark, folder, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return filter_audit.audit(filter_audit.failure_counts(docs, labels))
@@ -120,6 +130,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_warc,
         op10_mixing,
+        op11_topk_search,
+        op12_source_audit,
         op13_filter_audit,
     )
 }
