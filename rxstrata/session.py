@@ -110,4 +110,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete what ``stage`` wrote, once nothing reads it any more."""
+    delete(staged.sparkSession, staged.staged_at)
