@@ -325,12 +325,17 @@ ORACLES |= {
     "snk_05_write_metric": over(
         "scored", f"select {_METRIC}, '2001-06-01' as check_date from scored"
     ),
+    # the run of all records, and before it those of the records of earlier days
     "snk_08_run_ledger": over(
         "scored",
-        f"""select 'validation' as pipeline_name, 'SUCCEEDED' as status,
+        " union all ".join(
+            f"""select {run} as run, 'validation' as pipeline_name, 'SUCCEEDED' as status,
           count(*) as total_records,
           {n_if("validation_status <> 'FAILED'")} as processed_records,
-          {n_if("validation_status = 'FAILED'")} as failed_records from scored""",
+          {n_if("validation_status = 'FAILED'")} as failed_records
+          from scored where patient_count % {divisor} = 0"""
+            for run, divisor in ((1, 3), (2, 5), (3, 1))
+        ),
     ),
 }
 

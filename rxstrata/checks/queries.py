@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -313,12 +313,12 @@ def snk_05_write_metric(spark, folder):
 
 @query
 def snk_08_run_ledger(spark, folder):
+    """The ledger of the store: one row per validation run, in the order of the runs."""
     validated(spark, folder)
-    ledger = store(spark, folder).read("pipeline_runs")
-    checks = ledger.where(F.col("pipeline_name") == "validation")
-    # the run of all records: the earlier days had some of them
-    return checks.orderBy(F.col("total_records").desc()).limit(1).select(
-        "pipeline_name", "status", "total_records", "processed_records", "failed_records"
+    ledger = store(spark, folder).read("pipeline_runs").where(F.col("pipeline_name") == "validation")
+    started = ledger.select(F.count(F.lit(1)).over(Window.orderBy("start_timestamp")).alias("run"), "*")
+    return started.select(
+        "run", "pipeline_name", "status", "total_records", "processed_records", "failed_records"
     )
 
 

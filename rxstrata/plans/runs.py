@@ -6,6 +6,7 @@ import contextlib
 import datetime as dt
 import time
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,8 +98,17 @@ class Store:
     def read_latest(self, name: str, as_of: str | dt.date | None = None) -> DataFrame:
         return read_latest(self.spark, self.path(name), schemas.LAYERS[name], as_of)
 
-    def write(self, name: str, df: DataFrame, day: str | dt.date | None = None) -> None:
-        write_layer(df, self.path(name), schemas.LAYERS[name], day)
+    def read_days(self, name: str, days: Sequence[dt.date | None]) -> DataFrame:
+        """Some dates of a layer (None: rows without one), by their partitions."""
+        day = F.col(schemas.LAYERS[name].partition)
+        wanted = day.isin([d for d in days if d is not None])
+        return self.read(name).where(wanted | day.isNull() if None in days else wanted)
+
+    def write(
+        self, name: str, df: DataFrame, day: str | dt.date | None = None
+    ) -> list[dt.date | None]:
+        """Replace the dates that ``df`` holds, or ``day``; returns the dates written."""
+        return write_layer(df, self.path(name), schemas.LAYERS[name], day)
 
 
 def run_validation(
@@ -106,14 +116,15 @@ def run_validation(
 ) -> DataFrame:
     """Validate a day of raw records, write them and their metric row.
 
-    The totals come from the two columns they need of the written partition: unlike
+    With ``run_at`` the records may be of several dates; without, all are of ``as_of``.
+    The totals come from the two columns they need of the written dates: unlike
     counters kept while writing, that stays exact when a task runs twice.
     """
     with logged(store, "validation") as counts, scratch(store.spark):
         raw = store.read("raw", as_of) if raw is None else raw
         day = as_of if run_at is None else None
-        store.write("validated", validation.validate(raw, as_of, run_at), day)
-        totals = status_totals(store.read("validated", day))
+        days = store.write("validated", validation.validate(raw, as_of, run_at), day)
+        totals = status_totals(store.read_days("validated", days))
         metric = pass_rate_metric(totals, "validated", start_of(as_of))
         replace_check(metric, store.path("quality_metrics"), schemas.LAYERS["quality_metrics"])
         counts.append(totals.select(
@@ -127,12 +138,15 @@ def run_validation(
 def run_enrichment(
     store: Store, as_of: str | dt.date, validated: DataFrame | None = None, run_at: Column | None = None
 ) -> DataFrame:
-    """Enrich a day of validated records, write them and their daily summary."""
+    """Enrich a day of validated records, write them and their summary.
+
+    The summary of ``as_of`` and the totals cover the dates that this run wrote.
+    """
     with logged(store, "enrichment") as counts, scratch(store.spark):
         validated = store.read("validated", as_of) if validated is None else validated
         day = as_of if run_at is None else None
-        store.write("enriched", enrichment.enrich(validated, as_of, run_at), day)
-        written = store.read("enriched", day)
+        days = store.write("enriched", enrichment.enrich(validated, as_of, run_at), day)
+        written = store.read_days("enriched", days)
         store.write("summary", daily_summary(written, as_of), as_of)
         totals = enrichment_totals(written)
         counts.append(totals.select(

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxstrata.functions.columns import as_date
 from rxstrata.schemas import Layer
-from rxstrata.session import delete
+from rxstrata.session import delete, file_system
 from rxstrata.sources.files import stored_days
 
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -19,7 +23,7 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 def write_layer(
     df: DataFrame, path: str, layer: Layer, day: str | dt.date | None = None
-) -> None:
+) -> list[dt.date | None]:
     """Write ``df`` into its date partitions, replacing just the dates it holds.
 
     A run that knows its ``day`` replaces that date whatever it holds: with fewer rows,
@@ -29,20 +33,64 @@ def write_layer(
     statistics can skip. The rebalance hint lets AQE split the files of a hot date
     or key by size and join small ones; a plain ``repartition`` by the keys would
     leave a hot key in one task.
+
+    The rows are first written beside the stored dates, in a folder that readers pass
+    over, and take their place by renaming: a run that dies before leaves the stored
+    dates as they are. Returns the dates that were written (None: rows without a date).
     """
     dated = df.withColumn(layer.partition, F.to_date(layer.dated_by))
     keys = [layer.partition, *layer.cluster]
     ready = dated.hint("rebalance", *map(F.col, keys)).sortWithinPartitions(*keys)
-    if day is not None:
-        folder = f"{path}/{layer.partition}={dt.date.fromisoformat(str(day))}"
-        ready.drop(layer.partition).write.mode("overwrite").parquet(folder)
-        return
-    (
-        ready.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(layer.partition)
-        .parquet(path)
-    )
+    return write_dates(ready, path, layer, day)
+
+
+def write_dates(
+    rows: DataFrame, path: str, layer: Layer, day: str | dt.date | None = None
+) -> list[dt.date | None]:
+    """Write rows, which have the partition column, as they are dealt and sorted."""
+    spark = rows.sparkSession
+    fresh = f"{path}/_new-{uuid.uuid4().hex}"
+    try:
+        if day is None:
+            rows.write.partitionBy(layer.partition).parquet(fresh)
+        else:
+            folder = f"{layer.partition}={dt.date.fromisoformat(str(day))}"
+            rows.drop(layer.partition).write.parquet(f"{fresh}/{folder}")
+        fs, at = file_system(spark, fresh)
+        names = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
+        for name in names:
+            swap(spark, f"{fresh}/{name}", f"{path}/{name}")
+    finally:
+        delete(spark, fresh)
+    values = sorted(name.partition("=")[2] for name in names)
+    return [None if v == NO_DATE else dt.date.fromisoformat(v) for v in values]
+
+
+def swap(spark: SparkSession, fresh: str, target: str) -> None:
+    """Put a complete folder in the place of ``target``, which may be there or not.
+
+    The old folder is renamed first and deleted last; if the new one cannot take its
+    place, it comes back. On stores where renaming copies, it takes that long.
+    """
+    parent, _, name = target.rpartition("/")
+    fs, new = file_system(spark, fresh)
+    place, old = (file_system(spark, p)[1] for p in (target, f"{parent}/_old-{uuid.uuid4().hex}-{name}"))
+
+    def moved(source, to) -> bool:
+        try:
+            return fs.rename(source, to)
+        except Py4JJavaError:  # some stores raise where others return false
+            return False
+
+    had = fs.exists(place)
+    if had and not moved(place, old):
+        raise OSError(f"cannot move {target} aside")
+    if not moved(new, place):
+        if had:
+            moved(old, place)
+        raise OSError(f"cannot move the new rows to {target}")
+    if had:
+        fs.delete(old, True)
 
 
 def append_rows(df: DataFrame, path: str, layer: Layer) -> None:

@@ -106,6 +106,54 @@ def test_a_second_run_leaves_only_its_rows(spark, store, second, want):
     assert store.read("validated").count() == want[0] + 1 and store.read("enriched").count() == want[1] + 1
 
 
+def test_a_dying_write_leaves_the_stored_day(spark, store, monkeypatch):
+    """In the job, and between the two renames."""
+    store.write("raw", stamped(spark, 1, 1, 2), None)
+    bad = stamped(spark, 1).withColumn("price", F.expr("raise_error('dies')").cast("double"))
+    for day in (None, DAY):
+        with pytest.raises(Exception, match="dies"):
+            store.write("raw", bad, day)
+        assert store.read("raw").count() == 3 and store.read("raw", DAY).count() == 2
+    moved = layers.file_system
+    taken = []
+
+    def without_new(spark, path):
+        fs, at = moved(spark, path)
+        if "_new-" in path and path.count("=") and not taken:
+            taken.append(path)
+            at = moved(spark, path + "-gone")[1]
+        return fs, at
+
+    monkeypatch.setattr(layers, "file_system", without_new)
+    with pytest.raises(OSError, match="cannot move the new rows"):
+        store.write("raw", stamped(spark, 1), DAY)
+    assert store.read("raw", DAY).count() == 2
+    fs, at = moved(spark, store.path("raw"))
+    assert all(s.getPath().getName().startswith(("ingest_date=", "_SUCCESS")) for s in fs.listStatus(at))
+    assert store.write("raw", stamped(spark, 1, 3)) == [DAY, dt.date(2001, 6, 3)]
+    assert store.read("raw", DAY).count() == 1
+
+
+def test_totals_of_a_run_cover_its_dates(spark, store):
+    """Two runs stamped by the records: the second counts nothing of the first."""
+    at = F.col("ingestion_timestamp")
+    for days, want in (((1, 1, 1, 1), 4), ((2, 2, 3), 3)):
+        raw = stamped(spark, *days).withColumn("strength", F.lit("5 mg"))
+        report = runs.run_validation(store, dt.date(2001, 6, days[0]), raw, at).first()
+        assert report.total_records == want
+        validated = store.read("validated").where(F.day("validation_date").isin(*days))
+        totals = runs.run_enrichment(store, dt.date(2001, 6, days[0]), validated, F.col("validation_timestamp")).first()
+        assert totals.total_enriched == want
+        summary = store.read("summary", dt.date(2001, 6, days[0]))
+        assert summary.agg(F.sum("total_drugs")).first()[0] == want
+        metric = store.read("quality_metrics", dt.date(2001, 6, days[0])).first()
+        assert metric.details == f"Processed {want} records"
+    assert sorted(r.total_records for r in store.read("pipeline_runs").collect()) == [3, 3, 4, 4]
+    assert store.read("validated").count() == 7
+    undated = stamped(spark, 1).withColumn("ingestion_timestamp", F.lit(None).cast("timestamp"))
+    assert runs.run_validation(store, DAY, undated, at).first().total_records == 1
+
+
 def test_a_failing_run_is_in_the_ledger(spark, store):
     with pytest.raises(Exception, match="no_such"):
         runs.run_validation(store, DAY, raw_rows(spark, {}).withColumn("price", F.expr("raise_error('no_such')").cast("double")))
