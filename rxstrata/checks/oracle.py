@@ -339,6 +339,19 @@ ORACLES |= {
     ),
 }
 
+ORACLES |= {
+    "snk_02_clustered_validated": over(
+        "scored",
+        """select record_id, drug_category, country_code, price_usd from scored
+          where country_code = 'DE'""",
+    ),
+    "snk_03_clustered_enriched": over(
+        "enriched",
+        """select record_id, therapeutic_class, region, risk_category from enriched
+          where risk_category = 'LOW' and therapeutic_class >= 'Neurological'""",
+    ),
+}
+
 # --- projections, predicates, joins ---------------------------------------------
 
 ORACLES |= {
@@ -659,6 +672,30 @@ for _key, _columns in {
 }.items():
     ORACLES[_key] = over("enriched", f"select record_id, {_columns} from enriched")
 
+_SIMILAR = ("price_usd", "efficacy_score", "safety_score", "adverse_event_rate", "market_share")
+_SCALED = ", ".join(
+    f"""case when {a} is null then 500 when max({a}) over () = min({a}) over () then 0
+      else cast(floor(1000e0 * ({a} - min({a}) over ()) / (max({a}) over () - min({a}) over ())) as bigint) end as {a}"""
+    for a in _SIMILAR
+)
+_APART = " + ".join(f"(x.{a} - y.{a}) * (x.{a} - y.{a})" for a in _SIMILAR)
+ORACLES["en_15_nearest_drugs"] = over(
+    "batch",
+    f"""select therapeutic_class, drug_code, coalesce(string_agg(other, '|' order by rn), '') as similar
+    from (select therapeutic_class, drug_code, other,
+            row_number() over (partition by therapeutic_class, drug_code order by apart, other) as rn
+          from (select x.therapeutic_class, x.drug_code, y.drug_code as other, {_APART} as apart
+                from scaled x left join scaled y
+                  on x.therapeutic_class = y.therapeutic_class and x.drug_code <> y.drug_code))
+    where rn <= 5 group by therapeutic_class, drug_code""",
+).replace(
+    BATCH,
+    BATCH
+    + f""", means as (select therapeutic_class, drug_code, {", ".join(f"{mean(a, 6)} as {a}" for a in _SIMILAR)}
+    from batch group by therapeutic_class, drug_code),
+  scaled as (select therapeutic_class, drug_code, {_SCALED} from means)""",
+)
+
 _MONEY = f"""{r('predicted_revenue', 4)} as predicted_revenue,
   {r('revenue_forecast_6m', 4)} as revenue_forecast_6m,
   {r('revenue_forecast_12m', 4)} as revenue_forecast_12m"""

@@ -36,6 +36,7 @@ from rxstrata.operators.lookup import attach, constant_table
 from rxstrata.operators.topk import top_k_arrays
 from rxstrata.plans import contracts, marts, reports, runs, views
 from rxstrata.session import prepare, stage, staging_path
+from rxstrata.sinks import clustering
 from rxstrata.sinks import layers as sinks
 from rxstrata.sources import commerce, files, generator
 from rxstrata.streaming import events as ev
@@ -287,6 +288,28 @@ def snk_02_write_validated(spark, folder):
     return _rewritten(spark, "validated", validated(spark, folder).drop("validation_date"))
 
 
+def _clustered(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """The day's rows in interleaved order of the layer's cluster keys, read back."""
+    target = runs.Store(spark, staging_path(spark, "clustered"))
+    clustering.write_clustered(rows, target.path(name), schemas.LAYERS[name], AS_OF)
+    return target.read(name, AS_OF)
+
+
+@query
+def snk_02_clustered_validated(spark, folder):
+    """A filter on the last cluster key of the validated layer."""
+    rows = _clustered(spark, "validated", validated(spark, folder).drop("validation_date"))
+    return rows.where("country_code = 'DE'").select("record_id", "drug_category", "country_code", "price_usd")
+
+
+@query
+def snk_03_clustered_enriched(spark, folder):
+    """Filters on the second and the last cluster key of the enriched layer."""
+    rows = _clustered(spark, "enriched", enriched(spark, folder).drop("enrichment_date"))
+    kept = rows.where("risk_category = 'LOW' and therapeutic_class >= 'Neurological'")
+    return kept.select("record_id", "therapeutic_class", "region", "risk_category")
+
+
 @query
 def snk_03_write_enriched(spark, folder):
     rows = _rewritten(spark, "enriched", enriched(spark, folder).drop("enrichment_date"))
@@ -813,6 +836,13 @@ def en_15_similar_drugs(spark, folder):
     return enriched(spark, folder).select("record_id", F.size("similar_drugs").alias("similar"))
 
 
+@query
+def en_15_nearest_drugs(spark, folder):
+    """The five nearest drugs of the class, searched exactly."""
+    nearest = en.similar_drugs(validated(spark, folder), exact=True)
+    return nearest.select(F.col("group").alias("therapeutic_class"), F.col("item").alias("drug_code"), "similar")
+
+
 @query
 def en_16_confidence(spark, folder):
     return en.add_confidence(batch(spark, folder)).select("record_id", "confidence_score")

@@ -12,6 +12,7 @@ from rxstrata import schemas
 from rxstrata.functions.columns import as_date, banded, either, first_match, lookup, start_of
 from rxstrata.functions.text import stable_suffix
 from rxstrata.operators import distribution as dist
+from rxstrata.operators import similar
 from rxstrata.session import stage
 
 Day = str | dt.date | Column
@@ -172,9 +173,17 @@ def add_supply_risk(df: DataFrame) -> DataFrame:
     return df.withColumn("supply_risk_score", F.round(score, 3))
 
 
-def add_similar_drugs(df: DataFrame) -> DataFrame:
-    """An empty list: the column exists, no similarity is computed."""
-    return df.withColumn("similar_drugs", F.array().cast("array<string>"))
+def add_similar_drugs(df: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The similar drugs from ``known`` (see ``operators.similar``); without it an empty
+    list, since no similarity is fixed."""
+    if known is None:
+        return df.withColumn("similar_drugs", F.array().cast("array<string>"))
+    return similar.attach_similar(df, known)
+
+
+def similar_drugs(validated: DataFrame, k: int = similar.K, exact: bool = False) -> DataFrame:
+    """The ``k`` nearest drugs of the same class for each drug of the batch."""
+    return similar.similar_items(similar.profiles(enrichable(validated)), k, exact)
 
 
 def add_confidence(df: DataFrame) -> DataFrame:
@@ -195,10 +204,12 @@ def enrich(
     validated: DataFrame,
     as_of: Day,
     run_at: Column | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Enriched records of the batch.
 
-    ``validated`` is read more than once, so pass a written table.
+    ``validated`` is read more than once, so pass a written table. ``known`` may give
+    the similar drugs of each drug.
     """
     batch = enrichable(validated)
     measured = measure_batch(batch)
@@ -217,7 +228,7 @@ def enrich(
         .transform(add_revenue_forecast)
         .transform(add_demand_score)
         .transform(add_supply_risk)
-        .transform(add_similar_drugs)
+        .transform(add_similar_drugs, known)
         .transform(add_confidence)
         .withColumn("enrichment_timestamp", start_of(as_of) if run_at is None else run_at)
         .withColumn("ml_model_version", F.lit(V.MODEL_VERSION))

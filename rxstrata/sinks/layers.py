@@ -45,17 +45,22 @@ def write_layer(
 
 
 def write_dates(
-    rows: DataFrame, path: str, layer: Layer, day: str | dt.date | None = None
+    rows: DataFrame,
+    path: str,
+    layer: Layer,
+    day: str | dt.date | None = None,
+    options: dict[str, str] | None = None,
 ) -> list[dt.date | None]:
     """Write rows, which have the partition column, as they are dealt and sorted."""
     spark = rows.sparkSession
     fresh = f"{path}/_new-{uuid.uuid4().hex}"
     try:
+        options = options or {}
         if day is None:
-            rows.write.partitionBy(layer.partition).parquet(fresh)
+            rows.write.options(**options).partitionBy(layer.partition).parquet(fresh)
         else:
             folder = f"{layer.partition}={dt.date.fromisoformat(str(day))}"
-            rows.drop(layer.partition).write.parquet(f"{fresh}/{folder}")
+            rows.drop(layer.partition).write.options(**options).parquet(f"{fresh}/{folder}")
         fs, at = file_system(spark, fresh)
         names = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
         for name in names:
