@@ -1036,6 +1036,29 @@ ORACLES |= {
     ),
 }
 
+ORACLES["st_06_live_incidents"] = f"""with low as (
+    select event_type, time_bucket(interval '300 seconds', ts) as s, {mean('value / 100', 6)} as mean
+    from events group by all having mean < 0.8e0),
+  marked as (select *, case when s - lag(s) over w <= interval '1800 seconds' then 0 else 1 end as opens
+    from low window w as (partition by event_type order by s)),
+  numbered as (select *, sum(opens) over (partition by event_type order by s) as incident from marked)
+  select event_type, {stamp('min(s)')} as opened_at, {stamp("max(s) + interval '300 seconds'")} as last_breach_end,
+    count(*) as windows, min(mean) as worst_mean from numbered group by event_type, incident"""
+ORACLES["st_03_late_events"] = """with t as (select *, event_id % 4 as batch,
+    case event_type when 'error' then 'data-quality-alerts' when 'signup' then 'pipeline-notifications'
+      when 'view' then 'old-topic' else 'data-processing' end as topic from events),
+  kept as (select *, case topic when 'data-quality-alerts' then interval '1 day'
+    when 'pipeline-notifications' then interval '3 days' else interval '7 days' end as keeps
+    from t where topic <> 'old-topic'),
+  judged as (select k.event_id, k.topic, case when k.ts < max(m.ts) - any_value(k.keeps)
+      then 'older than its topic keeps' else '' end as late_reason
+    from kept k left join
+      (select topic, batch, max(ts) as ts from kept group by topic, batch) m
+      on m.topic = k.topic and m.batch < k.batch
+    group by k.event_id, k.topic, k.ts, k.batch)
+  select * from judged union all
+  select event_id, topic, 'unknown topic' from t where topic = 'old-topic'"""
+
 # --- contract marts -------------------------------------------------------------
 
 BRONZE = f"""bronze as (select

@@ -25,7 +25,7 @@ from rxstrata.functions.columns import (
     count_where,
     exact_mean,
     exact_sum,
-
+    lookup,
     ratio,
     start_of,
 )
@@ -39,6 +39,7 @@ from rxstrata.session import prepare, stage, staging_path
 from rxstrata.sinks import clustering
 from rxstrata.sinks import layers as sinks
 from rxstrata.sources import commerce, files, generator
+from rxstrata.streaming import accounting
 from rxstrata.streaming import events as ev
 
 AS_OF = "2001-06-01"
@@ -1163,6 +1164,29 @@ def st_03_daily_within_retention(spark, folder):
     return _windows(ev.daily_within_retention(_events(spark, folder)))
 
 
+def _event_batches(spark: SparkSession, folder: str, *rows: DataFrame) -> DataFrame:
+    """Tables as the batches of a stream, in this order."""
+    path = staging_path(spark, "event-batches")
+    for batch in rows:
+        batch.coalesce(1).write.mode("append").parquet(f"{path}/events.parquet")
+    return ev.instants(ev.read_table_stream(spark, path, "events", 1))
+
+
+@query
+def st_03_late_events(spark, folder):
+    """Four batches that each span all days: what is older than its topic keeps is late."""
+    topics = {"error": "data-quality-alerts", "signup": "pipeline-notifications", "view": "old-topic"}
+    topic = lookup(F.col("event_type"), topics, "data-processing")
+    events = commerce.table(spark, folder, "events").withColumn("topic", topic)
+    parts = [events.where(F.col("event_id") % STREAM_FILES == n) for n in range(STREAM_FILES)]
+    base = staging_path(spark, "accounted")
+    accepted, late = accounting.run_accounted(
+        _event_batches(spark, folder, *parts), f"{base}/out", f"{base}/checkpoint"
+    )
+    rows = accepted.withColumn("late_reason", F.lit("")).unionByName(late)
+    return rows.select("event_id", "topic", "late_reason")
+
+
 @query
 def st_04_volume(spark, folder):
     counts = _windows(ev.volume(_events(spark, folder)))
@@ -1180,6 +1204,21 @@ def st_06_quality_incidents(spark, folder):
     return ev.incidents(_windows(low))
 
 
+@query
+def st_06_live_incidents(spark, folder):
+    """Incidents per event type from one stream; a heartbeat long after closes the last."""
+    events = commerce.table(spark, folder, "events")
+    heartbeat = events.agg((F.max("ts") + F.expr("interval 60 days")).alias("ts")).select(
+        F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"),
+        F.lit("heartbeat").alias("event_type"), F.lit(None).cast("double").alias("value"),
+        F.lit(None).cast("string").alias("props"),
+    )
+    parts = [events.where(F.col("event_id") % STREAM_FILES == n) for n in range(STREAM_FILES)]
+    stream = _event_batches(spark, folder, *parts, heartbeat).withColumn("score", F.col("value") / 100)
+    low = ev.live_incidents(stream, "score", V.QUALITY_ALERT_BELOW, "event_type", late_by="30 days")
+    return _streamed(low)
+
+
 @query
 def st_07_bytes_alert(spark, folder):
     sized = _events(spark, folder).withColumn("bytes", F.col("value") * 2.0**28)

@@ -201,6 +201,8 @@ QUALITY_ALERT_BELOW = 0.8
 INCIDENT_CLOSE = "1800 seconds"
 BYTES_ALERT_ABOVE = 10 * 1024**3
 RAW_RETENTION_DAYS = 90
+#: Seconds that each topic keeps its messages: 7 days, 1 day and 3 days.
+TOPIC_RETENTION = {"data-processing": 604800, "data-quality-alerts": 86400, "pipeline-notifications": 259200}
 
 # --- Fixed values: synthetic records --------------------------------------------
 

@@ -160,6 +160,41 @@ def incidents(breaches: DataFrame, close_after: str = V.INCIDENT_CLOSE) -> DataF
     ).drop("session")
 
 
+def live_incidents(
+    events: DataFrame,
+    metric: str,
+    threshold: float,
+    series: str,
+    above: bool = False,
+    digits: int = 6,
+    late_by: str = RETENTION,
+    close_after: str = V.INCIDENT_CLOSE,
+    stamp: str = "ts",
+) -> DataFrame:
+    """Incidents of each series as one stream: its means of 300 seconds, those that
+    breach, runs of them.
+
+    Two stateful steps after each other, in append mode: a window's mean is final when
+    the watermark has passed its end, and an incident is written once, when it has passed
+    the last breach by ``close_after``. Open windows and open incidents are state in the
+    checkpoint and outlast a restart. On a table it gives every incident, as
+    ``incidents`` does for one series.
+    """
+    means = (
+        events.withWatermark(stamp, late_by)
+        .groupBy(series, F.window(stamp, V.QUALITY_WINDOW).alias("span"))
+        .agg(exact_mean(metric, digits).alias("mean"))
+    )
+    breaches = alerts(means, threshold, above).withColumn("breach_time", F.window_time("span"))
+    worst = F.max("mean") if above else F.min("mean")
+    return breaches.groupBy(series, F.session_window("breach_time", close_after).alias("session")).agg(
+        F.min("span.start").alias("opened_at"),
+        F.max("span.end").alias("last_breach_end"),
+        F.count(F.lit(1)).alias("windows"),
+        worst.alias("worst_mean"),
+    ).drop("session")
+
+
 def error_gauge(
     events: DataFrame, severity: str = "event_type", error: str = "error", payload: str = "props",
     path: str = "$.k", late_by: str = RETENTION,

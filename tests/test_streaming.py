@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import DAY, raw_rows
 from rxstrata.operators.validation import validate
+from rxstrata.streaming import accounting
 from rxstrata.streaming import events as ev
 
 START = dt.datetime(2024, 1, 1)
@@ -118,6 +119,74 @@ def test_incidents_close_after_the_gap(spark):
     assert rows[0].last_breach_end == START + dt.timedelta(seconds=2100)
 
 
+def test_live_incidents_outlast_a_restart(spark, tmp_path, run):
+    """An incident that is open when the job stops is written once, later, and whole."""
+
+    def job(stream):
+        return ev.live_incidents(stream, "value", 0.8, "event_type", late_by="0 seconds")
+
+    def low(i, seconds, kind="a"):
+        return event(i, seconds, 0.5, kind)
+
+    write(spark, tmp_path, low(1, 0), low(2, 310), event(3, 320, 0.6, "b"), event(4, 900, 0.9, "a"))
+    write(spark, tmp_path, low(5, 2000))
+    assert run(job).count() == 0
+    write(spark, tmp_path, low(6, 2400), event(7, 9000, 1.0, "b"))
+    write(spark, tmp_path, low(8, 20_000))
+    run(job)
+    write(spark, tmp_path, event(9, 10**6, 1.0, "z"))
+    got = run(job)
+    batch = ev.live_incidents(ev.instants(spark.read.parquet(f"{tmp_path}/events.parquet")), "value", 0.8, "event_type")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+    assert sorted((r.event_type, (r.opened_at - START).seconds, r.windows) for r in got.collect()) == [
+        ("a", 0, 4), ("a", 19_800, 1), ("b", 300, 1),
+    ]
+    # the same runs as the batch aggregate over finished windows finds
+    means = ev.mean_of(ev.instants(spark.read.parquet(f"{tmp_path}/events.parquet")).where("event_type = 'a'"), "value")
+    twin = ev.incidents(ev.alerts(means, 0.8))
+    mine = batch.where("event_type = 'a'").drop("event_type")
+    assert sorted(map(tuple, twin.collect())) == sorted(map(tuple, mine.collect()))
+
+
+def accounted(spark, tmp_path, keeps):
+    stream = ev.instants(ev.read_table_stream(spark, str(tmp_path), "events", 1))
+    return accounting.run_accounted(
+        stream, str(tmp_path / "acc"), str(tmp_path / "acc-ck"), keeps, topic="event_type"
+    )
+
+
+def test_every_event_is_accepted_or_set_aside(spark, tmp_path):
+    """By the marks of the batches before, per topic, across a restart."""
+    keeps = {"fast": 60, "slow": 3600}
+    write(spark, tmp_path, event(1, 1000, kind="fast"), event(2, 0, kind="fast"), event(3, 5000, kind="slow"))
+    accepted, late = accounted(spark, tmp_path, keeps)
+    assert (accepted.count(), late.count()) == (3, 0)
+    write(spark, tmp_path, event(4, 939, kind="fast"), event(5, 940, kind="fast"), event(6, 1400, kind="slow"), event(7, 1399, kind="slow"))
+    write(spark, tmp_path, event(8, 2000, kind="fast"), event(9, 950, kind="fast"), event(10, 1, kind="other"))
+    undated = spark.createDataFrame([(11, None, "fast", 1.0, None)], spark.read.parquet(f"{tmp_path}/events.parquet").schema)
+    undated.coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    write(spark, tmp_path, event(12, 1939, kind="fast"), event(13, 1401, kind="slow"))
+    accepted, late = accounted(spark, tmp_path, keeps)
+    assert {r.event_id for r in accepted.collect()} == {1, 2, 3, 5, 6, 8, 9, 13}
+    assert {r.event_id: r.late_reason for r in late.collect()} == {
+        4: accounting.TOO_OLD, 7: accounting.TOO_OLD, 10: accounting.UNKNOWN_TOPIC,
+        11: accounting.NO_TIME, 12: accounting.TOO_OLD,
+    }
+    assert len(accounting.batches(spark, f"{tmp_path}/acc/marks")) == accounting.KEPT_MARKS
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    """A crash after the outputs but before the commit: the batch runs again alike."""
+    keeps = {"fast": 60}
+    write(spark, tmp_path, event(1, 1000, kind="fast"))
+    write(spark, tmp_path, event(2, 900, kind="fast"), event(3, 1100, kind="fast"))
+    first = [sorted(map(str, df.collect())) for df in accounted(spark, tmp_path, keeps)]
+    commits = sorted((tmp_path / "acc-ck" / "commits").glob("[0-9]*"))
+    (tmp_path / "acc-ck" / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    commits[-1].unlink()
+    assert [sorted(map(str, df.collect())) for df in accounted(spark, tmp_path, keeps)] == first
+
+
 def test_error_gauge_reads_json(spark, tmp_path, run):
     write(
         spark, tmp_path,
