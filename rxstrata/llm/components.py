@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxstrata.session import stage
+from rxstrata.session import discard, stage
 
 
 def _fingerprint(edges: DataFrame):
-    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,8 +17,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round hangs every node's larger neighbours, then its smaller ones, under the
     smallest of them. Minima are combined before the shuffle and joined back, so a node
-    with very many links never gathers them. Rounds are written to the shared folder;
-    their number grows with the logarithm of the longest path.
+    with very many links never gathers them. A round is written to the shared folder and
+    deleted when the one after the next is; their number grows with the logarithm of the longest path.
     """
     edges = stage(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "links"
@@ -26,9 +26,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = earlier = None
     while True:
         state = _fingerprint(edges)
-        # different edges may agree in the fingerprint; as many distinct ones are compared
-        if state == before and edges.count() == earlier.count() and edges.exceptAll(earlier).isEmpty():
+        if state == before and edges.exceptAll(earlier).isEmpty() and earlier.exceptAll(edges).isEmpty():
+            discard(earlier)
             break
+        if earlier is not None:
+            discard(earlier)
         before, earlier = state, edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

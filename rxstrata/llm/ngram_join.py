@@ -440,7 +440,8 @@ def dealt_cells(cells: DataFrame, sets: DataFrame) -> DataFrame:
         .filter("parts > 1")
         .drop("parts")
     )
-    members = cells.join(open_cells, "centre").select(
+    # one row per centre: written, so that it is broadcast while it is small
+    members = cells.join(stage(open_cells, "open-cells"), "centre").select(
         "centre", "node", "part", "blocks", "slices",
         (~F.col("part").eqNullSafe(F.col("home"))).alias("asks"),
         F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int").alias("own_block"),
@@ -461,48 +462,110 @@ def dealt_cells(cells: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("centre", "cell.block", "cell.slice", "node", "part", "cell.asks", "cell.member")
 
 
+class Index:
+    """An inverted index of some of a block's members."""
+
+    def __init__(self, grams: list[np.ndarray], sizes: np.ndarray, places: np.ndarray):
+        keys = np.concatenate([grams[i] for i in places])
+        owner = np.repeat(np.arange(len(places)), [len(grams[i]) for i in places])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner = keys[order], owner[order]
+        self.places, self.sizes = places, sizes[places]
+
+    def hits(self, n: int, grams: np.ndarray, percent: int) -> np.ndarray:
+        """Places of the members that are linked with a set."""
+        first, last = np.searchsorted(self.keys, grams), np.searchsorted(self.keys, grams, side="right")
+        length = last - first
+        skip = np.cumsum(length) - length
+        at = np.arange(int(length.sum())) - np.repeat(skip, length) + np.repeat(first, length)
+        inter = np.bincount(self.owner[at], minlength=len(self.places))
+        return self.places[similar(inter, n, self.sizes, percent)]
+
+
+class Block:
+    """The members of a block, and which parts are known to be connected.
+
+    ``member`` has rows (node, part, asks, member, n, keys). A set that is connected with
+    the largest group of members is compared with those outside it alone: the index of
+    these is made anew whenever half of them have joined, so a group of near copies costs
+    little more than its size.
+    """
+
+    def __init__(self, member: list, percent: int):
+        self.percent = percent
+        self.grams = [np.frombuffer(r[-1], "<u8") for r in member]
+        self.sizes = np.array([r[4] for r in member])
+        self.nodes = [r[0] for r in member]
+        self.parts = [r[1] for r in member]
+        self.whole = Index(self.grams, self.sizes, np.arange(len(member)))
+        self.parent: dict[int, int] = {}
+        self.weight: dict[int, int] = {}  # members in a root's group
+        for part in self.parts:
+            self.parent[part] = part
+            self.weight[part] = self.weight.get(part, 0) + 1
+        self.largest = max(self.weight, key=self.weight.get)
+        self._look_outside()
+
+    def _look_outside(self) -> None:
+        home = self.root(self.largest)
+        places = np.array([i for i, p in enumerate(self.parts) if self.root(p) != home], dtype=np.int64)
+        self.outside = Index(self.grams, self.sizes, places) if len(places) else None
+        self.outside_of, self.left = home, len(places)
+
+    def root(self, part: int) -> int:
+        parent = self.parent
+        parent.setdefault(part, part)
+        while parent[part] != part:
+            parent[part] = part = parent[parent[part]]
+        return part
+
+    def _join(self, a: int, b: int) -> None:
+        a, b = self.root(a), self.root(b)
+        self.parent[b] = a
+        self.weight[a] = self.weight.get(a, 0) + self.weight.pop(b, 0)
+        if self.weight[a] > self.weight.get(self.root(self.largest), 0) or self.root(self.largest) == a:
+            self.largest = a
+
+    def _index(self, part: int) -> Index | None:
+        home = self.root(self.largest)
+        if self.root(part) != home:
+            return self.whole
+        outside = len(self.parts) - self.weight[home]
+        if self.root(self.outside_of) != home or 2 * outside < self.left:
+            self._look_outside()
+        return self.outside
+
+    def links(self, node: int, part: int, n: int, raw: bytes) -> list[tuple[int, int]]:
+        """The links of a set that connect parts which were not connected before."""
+        index = self._index(part)
+        if index is None:
+            return []
+        new = []
+        for k in index.hits(n, np.frombuffer(raw, "<u8"), self.percent).tolist():
+            if self.root(self.parts[k]) != self.root(part):
+                self._join(part, self.parts[k])
+                new.append((node, self.nodes[k]))
+        return new
+
+
 def block_links(cells: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """a, b: links between the parts of each centre's neighbourhood that stars left apart.
 
     ``cells`` has centre, node, part. A task keeps the members of its block, which come
-    first, and compares the asking nodes of its slice as they come.
+    first, and compares the asking nodes of its slice as they come. Of the links it finds
+    it returns a spanning forest over the parts, so fewer rows than it reads.
     """
     rows = dealt_cells(cells, sets).join(sets.select("node", "n", "keys"), "node").select(
         "centre", "block", "slice", "node", "part", "asks", "member", "n", "keys"
     )
 
-    class Block:
-        """An inverted index of the members of a block."""
-
-        def __init__(self, member):
-            own = [np.frombuffer(r[-1], "<u8") for r in member]
-            keys = np.concatenate(own)
-            owner = np.repeat(np.arange(len(own)), [len(k) for k in own])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.owner = keys[order], owner[order]
-            self.nodes = [r[0] for r in member]
-            self.parts = np.array([r[1] for r in member])
-            self.sizes = np.array([r[4] for r in member])
-
-        def links(self, node, part, n, raw):
-            ask = np.frombuffer(raw, "<u8")
-            first, last = np.searchsorted(self.keys, ask), np.searchsorted(self.keys, ask, side="right")
-            length = last - first
-            skip = np.cumsum(length) - length
-            at = np.arange(int(length.sum())) - np.repeat(skip, length) + np.repeat(first, length)
-            inter = np.bincount(self.owner[at], minlength=len(self.nodes))
-            hit = np.flatnonzero(similar(inter, n, self.sizes, percent) & (self.parts != part))
-            # one link to each part connects as well as all of them
-            _, some = np.unique(self.parts[hit], return_index=True)
-            return [(node, self.nodes[k]) for k in hit[some]]
-
     def asked(rows):
         """The links of each asking row; the rows of a cell are together, members first."""
         current, member, block = None, [], None
 
         def of_members():
-            index = Block(member)
-            return index, [x for node, part, asks, _, n, raw in member if asks for x in index.links(node, part, n, raw)]
+            block = Block(member, percent)
+            return block, [x for node, part, asks, _, n, raw in member if asks for x in block.links(node, part, n, raw)]
 
         for centre, number, share, *row in rows:
             if (centre, number, share) != current:
@@ -653,6 +716,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.col("_id").eqNullSafe(F.col("first")) & F.col("_node").eqNullSafe(F.col("node")),
         "left_semi",
     )
-    same = Window.partitionBy("_id", "_node").orderBy(F.xxhash64("_doc"))
-    once = kept.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1 OR _node IS NULL")
+    # rows without words are in no group: each is the first of its own
+    alone = F.when(F.col("_node").isNull(), F.monotonically_increasing_id())
+    same = Window.partitionBy("_id", "_node", "_alone").orderBy(F.xxhash64("_doc"))
+    once = kept.withColumn("_alone", alone).withColumn("_nth", F.row_number().over(same)).filter("_nth = 1")
     return once.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])

@@ -90,6 +90,40 @@ def test_a_hot_list_of_unlike_sets_is_compared_in_bounded_cells(spark, documents
     assert largest[0] < 2 * limit and largest[1] < 2 * limit and largest[2] >= 3 and largest[3] >= 3
 
 
+@pytest.mark.parametrize("n", [75, 150, 300])
+def test_links_of_near_copies_grow_with_their_number(documents, monkeypatch, n):
+    """Copies with two words changed: many are not similar to the centre of their lists."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(130)]
+    texts = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.sample(range(130), 2):
+            words[k] = f"n{i}x{k}"
+        texts.append(" ".join(words))
+    made, read = [], []
+    deal, compare = ngram_join.dealt_cells, ngram_join.block_links
+    monkeypatch.setattr(ngram_join, "dealt_cells", lambda *a: read.append(deal(*a)) or read[-1])
+    monkeypatch.setattr(ngram_join, "block_links", lambda *a: made.append(compare(*a)) or made[-1])
+    check(documents(*texts), list(enumerate(texts)))
+    assert made[0].count() < read[0].count()
+
+
+def test_a_block_joins_parts_once():
+    """Two groups and single sets: each link joins what was apart, and all are found."""
+    rng = random.Random(3)
+    base = [np.sort(rng.sample(range(10_000 * g, 10_000 * g + 900), 100)) for g in range(3)]
+    sets = [np.sort(np.concatenate([rng.sample(list(base[i % 3]), 95), [90_000 + 5 * i + k for k in range(5)]])) for i in range(60)]
+    sets += [np.arange(200_000 + 100 * i, 200_100 + 100 * i) for i in range(20)]
+    rows = [(i, 1000 + i, True, True, 100, s.astype("<u8").tobytes()) for i, s in enumerate(sets)]
+    block = ngram_join.Block(rows, 75)
+    made = [x for node, part, _, _, n, raw in rows for x in block.links(node, part, n, raw)]
+    assert len(made) == 57 and all(a % 3 == b % 3 for a, b in made)
+    assert len({block.root(1000 + i) for i in range(60)}) == 3
+    far = sets[0].copy()
+    assert block.links(500, 5000, 100, far.astype("<u8").tobytes()) and not block.links(501, 5000, 100, far.astype("<u8").tobytes())
+
+
 def test_null_and_repeated_ids(documents):
     long = " ".join(f"v{i}" for i in range(50))
     near = long.replace("v49", "other")
