@@ -352,6 +352,20 @@ ORACLES |= {
     ),
 }
 
+ORACLES["src_06_contract_resolution"] = over(
+    "raw",
+    """, v as (select *, route_of_administration = 'Injection' as second,
+      case when route_of_administration = 'Injection' and patient_count % 7 = 0 then 'patients: null' end as r1,
+      case when clinical_trial_phase = 'Phase IV' then 'phase: unknown symbol Phase IV' end as r2 from raw)
+    select record_id, case when ok then drug_name end as name,
+      case when ok then cast(patient_count as double) end as patients,
+      case when ok then clinical_trial_phase end as phase,
+      case when ok then case when second then cast(cast(floor(price) as float) as double) else -1 end end as price,
+      cast(null as varchar) as origin,
+      case when not ok then concat_ws('|', r1, r2) end as reasons
+    from (select *, r1 is null and r2 is null as ok from v)""",
+)
+
 # --- projections, predicates, joins ---------------------------------------------
 
 ORACLES |= {

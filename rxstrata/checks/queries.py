@@ -38,7 +38,7 @@ from rxstrata.plans import contracts, marts, reports, runs, views
 from rxstrata.session import prepare, stage, staging_path
 from rxstrata.sinks import clustering
 from rxstrata.sinks import layers as sinks
-from rxstrata.sources import commerce, files, generator
+from rxstrata.sources import commerce, evolution, files, generator
 from rxstrata.streaming import accounting
 from rxstrata.streaming import events as ev
 
@@ -235,6 +235,54 @@ def src_06_schema_evolution(spark, folder):
     return files.read_evolving(spark, f"{path}/v1", f"{path}/v2")
 
 
+def _contract(*fields: tuple) -> evolution.Contract:
+    return {"type": "record", "name": "record", "fields": [{"name": n, "type": t, **more} for n, t, more in fields]}
+
+
+def _phases(*symbols: str, **more) -> dict:
+    return {"type": "enum", "name": "phase", "symbols": list(symbols), **more}
+
+
+RECORD_V1 = _contract(
+    ("record_id", "string", {}), ("drug_name", "string", {}), ("patients", "int", {}),
+    ("phase", _phases("Phase I", "Phase II", "Phase III", "Phase IV", "Approved"), {}),
+)
+RECORD_V2 = _contract(
+    ("record_id", "string", {}), ("product", "string", {}), ("patients", ["null", "long"], {}),
+    ("phase", "string", {}), ("price", "float", {}), ("note", ["null", "string"], {}),
+)
+RECORD_WANTED = _contract(
+    ("record_id", "string", {}),
+    ("name", "string", {"aliases": ["product", "drug_name"]}),
+    ("patients", "double", {}),
+    ("phase", _phases("Phase I", "Phase II", "Phase III", "Approved"), {}),
+    ("price", "double", {"default": -1.0}),
+    ("origin", ["null", "string"], {"default": None}),
+)
+
+
+@query
+def src_06_contract_resolution(spark, folder):
+    """Two contracts read as a third: renamed, widened, defaulted, and rows set aside."""
+    records, path = raw(spark, folder), staging_path(spark, "versions")
+    second, phase = F.col("route_of_administration") == "Injection", F.col("clinical_trial_phase").alias("phase")
+    patients = F.when(F.col("patient_count") % 7 != 0, F.col("patient_count"))
+    records.where(~second).select(
+        "record_id", "drug_name", F.col("patient_count").cast("int").alias("patients"), phase
+    ).write.parquet(f"{path}/v1")
+    records.where(second).select(
+        "record_id", F.col("drug_name").alias("product"), patients.alias("patients"), phase,
+        F.floor("price").cast("float").alias("price"), F.lit("x").alias("note"),
+    ).write.parquet(f"{path}/v2")
+    good, rejects = evolution.read_versions(
+        spark, [(f"{path}/v1", RECORD_V1), (f"{path}/v2", RECORD_V2)], RECORD_WANTED
+    )
+    set_aside = rejects.select(
+        F.get_json_object("original", "$.record_id").alias("record_id"), F.array_join("reject_reasons", "|").alias("reasons")
+    )
+    return good.unionByName(set_aside, allowMissingColumns=True)
+
+
 @query
 def src_07_country_table(spark, folder):
     """Every country of the mapping with the records that name it."""
