@@ -5,7 +5,10 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import os
+import tempfile
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,7 @@ from pyspark.sql import types as T
 CHUNK_BYTES = 400_000  # bytes of pre-tokens one recursive query starts from
 LONG = 64  # pre-tokens above this many bytes merge equal pairs together
 STEPS = 64  # contractions per query for long pre-tokens, so that states stay bounded
-CACHE_WORDS = 400_000  # pre-tokens and segments remembered within a task
+CACHE_WORDS = 600_000  # pre-tokens, and segments, that a process remembers
 
 # Rows are (word, place, token); p packs word and place, key packs rank and place.
 # One step gives every pair its rank, finds each word's smallest key, which is the
@@ -114,7 +117,11 @@ def merge_table(path: str) -> pa.Table:
 
 
 class Coder:
-    """Encodes and decodes for one task; remembers words up to a bound."""
+    """Encodes and decodes; remembers words up to a bound.
+
+    ``coder`` keeps one per worker process, so that a merge table is loaded once there
+    and a word that one task has learnt is known to the next.
+    """
 
     def __init__(self, path: str, pattern: str):
         import duckdb
@@ -123,7 +130,8 @@ class Coder:
         ranks = read_ranks(path)
         self.split = regex.compile(pattern).findall
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        spill = os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": spill})
         self.db.register("merge_rows", merge_table(path))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
         tokens = sorted((rank, token) for token, rank in ranks.items())
@@ -137,11 +145,12 @@ class Coder:
         self.starts = starts
         self.words: dict[str, bytes] = {}
         self.segments: dict[bytes, bytes] = {}
+        self.decimal = [str(i) for i in range(len(starts))]
 
     # encoding
 
-    def _contract(self, query: str, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each word."""
+    def _contract(self, query: str, words: list[bytes]) -> list[bytes]:
+        """Token ids of each word, as 4-byte integers."""
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         tok = self.of_byte[np.frombuffer(b"".join(words), dtype=np.uint8)]
         firsts = np.cumsum(lengths) - lengths
@@ -156,8 +165,9 @@ class Coder:
             p, tok = p[open_], tok[open_]
         p, tok = (np.concatenate([d[i] for d in done]) for i in (0, 1))
         order = np.argsort(p, kind="stable")
-        bounds = np.searchsorted(p[order] >> 40, np.arange(1, len(words)))
-        return np.split(tok[order].astype("<i4"), bounds)
+        bounds = (np.searchsorted(p[order] >> 40, np.arange(len(words) + 1)) * 4).tolist()
+        raw = tok[order].astype("<i4").tobytes()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _learn(self, words: Iterable[str]) -> None:
         short: list[str] = []
@@ -173,7 +183,7 @@ class Coder:
             for word in [*group, None]:
                 if part and (word is None or size + len(word.encode()) > CHUNK_BYTES):
                     ids = self._contract(query, [w.encode() for w in part])
-                    self.words.update((w, i.tobytes()) for w, i in zip(part, ids, strict=True))
+                    self.words.update(zip(part, ids, strict=True))
                     part, size = [], 0
                 if word is not None:
                     part.append(word)
@@ -181,11 +191,14 @@ class Coder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Token ids of each text; each match of the pattern is a word of its own."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        known = self.words
         split = [self.split(t) if t else [] for t in texts]
-        self._learn({w for words in split for w in words if w not in known})
+        needed = set(chain.from_iterable(split))
+        new = needed.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            # what these texts use again stays, so common words are not learnt anew
+            self.words = {w: self.words[w] for w in needed.difference(new)}
+        self._learn(new)
+        known = self.words
         return [
             np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<i4") for words in split
         ]
@@ -214,21 +227,29 @@ class Coder:
         Sequences are cut before tokens that begin with a space or a line end; equal
         segments are spelled once, their tokens aggregated in order.
         """
-        if len(self.segments) > CACHE_WORDS:
-            self.segments.clear()
-        known, cut = self.segments, []
+        cut = []
         for seq in ids:
             raw = np.ascontiguousarray(seq, dtype="<i4")
             at = np.flatnonzero(self.starts[raw]) * 4
             edges = [0, *at[at > 0].tolist(), len(raw) * 4]
             data = raw.tobytes()
             cut.append([data[a:b] for a, b in zip(edges, edges[1:])] if data else [])
-        new = list({s for segments in cut for s in segments if s not in known})
+        needed = set(chain.from_iterable(cut))
+        new = list(needed.difference(self.segments))
+        if len(self.segments) + len(new) > CACHE_WORDS:
+            self.segments = {s: self.segments[s] for s in needed.difference(new)}
         for i in range(0, len(new), 50_000):
             self._spell(new[i : i + 50_000])
+        known = self.segments
         return [b"".join(map(known.__getitem__, segments)) for segments in cut]
 
 
+@functools.cache
+def coder(path: str, pattern: str) -> Coder:
+    """The coder of this process."""
+    return Coder(path, pattern)
+
+
 def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``limit`` bytes; a longer row stands alone."""
     ends = np.cumsum(sizes)
@@ -254,10 +275,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """
 
     def run(batches):
-        coder = Coder(path, pattern)
+        of = coder(path, pattern)
         for batch in batches:
             for part in slices(batch, text_sizes(batch.column(1))):
-                ids = coder.encode(part.column(1).to_pylist())
+                ids = of.encode(part.column(1).to_pylist())
                 offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 flat = np.concatenate(ids) if ids else np.array([], dtype=np.int32)
                 listed = pa.ListArray.from_arrays(offsets, flat.astype(np.int32))
@@ -274,12 +295,12 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ``bytes`` of each row of ids; null ids decode to no bytes."""
 
     def run(batches):
-        coder = Coder(path, pattern)
+        of = coder(path, pattern)
         for batch in batches:
             rows = batch.column(1)
             ids = [np.array(r.as_py() or [], dtype="<i4") for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(coder.decode(ids), pa.binary())], names=["doc_id", "bytes"]
+                [batch.column(0), pa.array(of.decode(ids), pa.binary())], names=["doc_id", "bytes"]
             )
 
     kept = tokens.select("doc_id", "ids")
@@ -295,13 +316,12 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """
 
     def run(batches):
-        coder = Coder(path, pattern)
-        decimal = [str(i) for i in range(len(coder.starts))]
+        of = coder(path, pattern)
         for batch in batches:
             for part in slices(batch, text_sizes(batch.column(1))):
-                ids = coder.encode(part.column(1).to_pylist())
-                spelled = coder.decode(ids)
-                listed = (" ".join(map(decimal.__getitem__, i.tolist())) for i in ids)
+                ids = of.encode(part.column(1).to_pylist())
+                spelled = of.decode(ids)
+                listed = (" ".join(map(of.decimal.__getitem__, i.tolist())) for i in ids)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
