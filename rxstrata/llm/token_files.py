@@ -14,6 +14,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ HEADER = struct.Struct("<II")
 
 END_ID = 0
 FRAME_BYTES = 1 << 20
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000  # that a process remembers; some 200 bytes each
 
 
 @functools.cache
@@ -52,8 +53,9 @@ class PieceEncoder:
     """Whole texts through the tokenizers library, each piece between spaces once.
 
     Byte-level pre-tokens never hold a space after something else than white space, so a
-    text may be cut before such a space and the parts encoded alone. Pieces that a task
-    has not met are encoded together as one text of that kind.
+    text may be cut before such a space and the parts encoded alone. Pieces that are new
+    are encoded together as one text of that kind. ``encoder`` keeps one per worker
+    process, so pieces that one task has learnt are known to the next.
     """
 
     def __init__(self, path: str):
@@ -72,22 +74,25 @@ class PieceEncoder:
     def _learn(self, pieces: Sequence[str]) -> None:
         for i in range(0, len(pieces), 2000):
             part = pieces[i : i + 2000]
-            ids = self._ids("".join(f" {p}" for p in part))
+            ids = self._ids(" " + " ".join(part))
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) == len(part):
-                split = [x.tobytes() for x in np.split(ids, cuts[1:])]
+                raw, at = ids.tobytes(), (cuts * 4).tolist()
+                split = [raw[x:y] for x, y in zip(at, [*at[1:], len(raw)])]
             else:
                 split = [self._ids(f" {p}").tobytes() for p in part]
             self.known.update(zip(part, split, strict=True))
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        known = self.known
         pieces = [None if t and self.irregular(t) else (t or "").split(" ") for t in texts]
-        new = dict.fromkeys(p for ps in pieces if ps for p in ps[1:] if p not in known)
+        needed = set(chain.from_iterable(ps[1:] for ps in pieces if ps))
+        new = needed.difference(self.known)
+        if len(self.known) + len(new) > CACHE_PIECES:
+            # what these texts use again stays, so common pieces are not learnt anew
+            self.known = {p: self.known[p] for p in needed.difference(new)}
         self._learn(list(new))
+        known = self.known
         out = []
         for text, ps in zip(texts, pieces, strict=True):
             if not text:
@@ -99,6 +104,12 @@ class PieceEncoder:
         return out
 
 
+@functools.cache
+def encoder(path: str) -> PieceEncoder:
+    """The encoder of this process."""
+    return PieceEncoder(path)
+
+
 class FrameWriter:
     """Appends documents in order and closes with index and seek table."""
 
@@ -211,14 +222,15 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
     Rows: file (number in id order), uri, n_docs, n_tokens. Documents stand in ascending
     id order, null ids first, rows of the same id by the hash of their text; each ends
     with ``end_id``. Null and empty texts have only that. Texts are dealt by range of
-    (id, hash), so repeated ids may be split too.
+    (id, hash, number of the row), so rows equal in id and text are split too. An empty
+    table gives files without documents; other columns are not read.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         number = TaskContext.get().partitionId()
-        encoder, rows = PieceEncoder(path), 0
+        of, rows = encoder(path), 0
         uri = f"{folder}/ids-{number:06d}.zst"
         end = struct.pack("<I", end_id)
         with written_whole(uri) as out:
@@ -226,7 +238,7 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
             for batch in batches:
                 for part in slices(batch, text_sizes(batch.column(1))):
                     texts = part.column(1).to_pylist()
-                    for doc_id, data in zip(part.column(0).to_pylist(), encoder.encode(texts), strict=True):
+                    for doc_id, data in zip(part.column(0).to_pylist(), of.encode(texts), strict=True):
                         writer.add(doc_id, data + end)
                         rows += 1
             writer.close()
@@ -237,8 +249,9 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
     tie = F.xxhash64(F.col(text_col))
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), tie.alias("tie"))
-        .repartitionByRange(parts, F.col("id").asc_nulls_first(), "tie")
-        .sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
+        .withColumn("nth", F.monotonically_increasing_id())
+        .repartitionByRange(parts, F.col("id").asc_nulls_first(), "tie", "nth")
+        .sortWithinPartitions(F.col("id").asc_nulls_first(), "tie", "nth")
         .select("id", "text")
     )
     return ordered.mapInArrow(run, "file long, uri string, n_docs long, n_tokens long")
