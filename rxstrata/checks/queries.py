@@ -5,7 +5,7 @@ validates and enriches all records, and runs of two days before some of them; th
 layers are written once per session and folder, and the views read them with all
 their dates, as in production. In the *daily* one
 each record is stamped with its ingestion date, which gives per-date views many
-groups.
+groups; these layers are stored once, too, in the order of their dates.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from rxstrata.session import prepare, stage, staging_path
 from rxstrata.sinks import clustering
 from rxstrata.sinks import layers as sinks
 from rxstrata.sources import commerce, evolution, files, generator
+from rxstrata.sources.files import rows_on
 from rxstrata.streaming import accounting
 from rxstrata.streaming import events as ev
 
@@ -98,7 +99,12 @@ def remembered(build: Query) -> Query:
 
 @remembered
 def raw(spark: SparkSession, folder: str) -> DataFrame:
-    return commerce.raw_records(spark, folder)
+    """The raw records, stored once in files that tasks can share.
+
+    The supplied line items are one row group, which one task reads whatever the cores.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return stage(commerce.raw_records(spark, folder).repartition(parts, "record_id"), "raw-records")
 
 
 @remembered
@@ -106,15 +112,33 @@ def flagged(spark: SparkSession, folder: str) -> DataFrame:
     return va.flag_records(raw(spark, folder), AS_OF)
 
 
+def in_date_order(df: DataFrame, stamp: str, name: str) -> DataFrame:
+    """Stored in the order of ``stamp``, so that a filter on it skips files and row groups.
+
+    The records spread over 2,500 dates, too few on each for folders of their own.
+    """
+    return stage(df.repartitionByRange(stamp, "record_id").sortWithinPartitions(stamp), name)
+
+
+@remembered
+def daily_raw(spark: SparkSession, folder: str) -> DataFrame:
+    return in_date_order(raw(spark, folder), "ingestion_timestamp", "daily-raw")
+
+
 @remembered
 def daily_validated(spark: SparkSession, folder: str) -> DataFrame:
-    return va.validate(raw(spark, folder), AS_OF, F.col("ingestion_timestamp"))
+    """Every record, validated on its ingestion date."""
+    rows = va.validate(raw(spark, folder), AS_OF, F.col("ingestion_timestamp"))
+    return in_date_order(rows, "validation_timestamp", "daily-validated")
 
 
+@remembered
 def daily_enriched(spark: SparkSession, folder: str) -> DataFrame:
     """The columns of the enriched layer that the monitor view reads, stamped daily."""
     rows = en.add_confidence(en.enrichable(daily_validated(spark, folder)))
-    return rows.withColumnRenamed("validation_timestamp", "enrichment_timestamp")
+    return in_date_order(
+        rows.withColumnRenamed("validation_timestamp", "enrichment_timestamp"), "enrichment_timestamp", "daily-enriched"
+    )
 
 
 def _stored(layers: runs.Store, name: str) -> DataFrame | None:
@@ -200,16 +224,16 @@ def src_01_csv_scan(spark, folder):
 
 @query
 def src_02_raw_by_date(spark, folder):
-    return commerce.raw_records(spark, folder, ingested_on=AS_OF).select(
+    return rows_on(daily_raw(spark, folder), schemas.LAYERS["raw"], AS_OF).select(
         "record_id", "drug_name", "price", "country", "ingestion_timestamp"
     )
 
 
 @query
 def src_03_validated_by_date(spark, folder):
-    day = commerce.raw_records(spark, folder, ingested_on=AS_OF)
-    stamped = va.validate(day, AS_OF, F.col("ingestion_timestamp"))
-    return en.enrichable(stamped).select("record_id", "validation_status", "quality_score")
+    """One stored date, without the records that failed."""
+    day = rows_on(daily_validated(spark, folder), schemas.LAYERS["validated"], AS_OF)
+    return en.enrichable(day).select("record_id", "validation_status", "quality_score")
 
 
 @query
@@ -787,7 +811,7 @@ def va_10_competitor_count(spark, folder):
 
 @query
 def va_11_validate(spark, folder):
-    return daily_validated(spark, folder)
+    return va.validate(raw(spark, folder), AS_OF, F.col("ingestion_timestamp"))
 
 
 @query
@@ -1044,7 +1068,7 @@ def vw_05_risk_analysis(spark, folder):
 
 def monitor(spark: SparkSession, folder: str, as_of: str = AS_OF) -> DataFrame:
     return views.pipeline_performance_monitor(
-        raw(spark, folder), daily_validated(spark, folder), daily_enriched(spark, folder), as_of
+        daily_raw(spark, folder), daily_validated(spark, folder), daily_enriched(spark, folder), as_of
     )
 
 
@@ -1144,7 +1168,7 @@ def dq_14_raw_check(spark, folder):
 
 @query
 def dq_14_raw_check_dated(spark, folder):
-    return reports.raw_check(raw(spark, folder), AS_OF)
+    return reports.raw_check(daily_raw(spark, folder), AS_OF)
 
 
 # --- streaming ------------------------------------------------------------------
@@ -1282,7 +1306,7 @@ def st_08_error_gauge(spark, folder):
 @query
 def st_09_retention(spark, folder):
     layer = schemas.LAYERS["raw"]
-    dated = raw(spark, folder).withColumn(layer.partition, F.to_date(layer.dated_by))
+    dated = daily_raw(spark, folder).withColumn(layer.partition, F.to_date(layer.dated_by))
     kept = sinks.within_retention(dated, layer, AS_OF, V.RAW_RETENTION_DAYS)
     return kept.groupBy(layer.partition).agg(F.count(F.lit(1)).alias("records"))
 

@@ -34,9 +34,9 @@ def write_layer(
     or key by size and join small ones; a plain ``repartition`` by the keys would
     leave a hot key in one task.
 
-    The rows are first written beside the stored dates, in a folder that readers pass
-    over, and take their place by renaming: a run that dies before leaves the stored
-    dates as they are. Returns the dates that were written (None: rows without a date).
+    The rows are first written to a folder beside the layer and take their place by
+    renaming: a run that dies before leaves the stored dates as they are. Returns the
+    dates that were written (None: rows without a date).
     """
     dated = df.withColumn(layer.partition, F.to_date(layer.dated_by))
     keys = [layer.partition, *layer.cluster]
@@ -53,7 +53,8 @@ def write_dates(
 ) -> list[dt.date | None]:
     """Write rows, which have the partition column, as they are dealt and sorted."""
     spark = rows.sparkSession
-    fresh = f"{path}/_new-{uuid.uuid4().hex}"
+    parent, _, name = path.rpartition("/")
+    fresh = f"{parent}/_new-{uuid.uuid4().hex}-{name}"
     try:
         options = options or {}
         if day is None:
@@ -63,8 +64,11 @@ def write_dates(
             rows.drop(layer.partition).write.options(**options).parquet(f"{fresh}/{folder}")
         fs, at = file_system(spark, fresh)
         names = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
-        for name in names:
-            swap(spark, f"{fresh}/{name}", f"{path}/{name}")
+        if fs.exists(file_system(spark, path)[1]):
+            for name in names:
+                swap(spark, f"{fresh}/{name}", f"{path}/{name}")
+        else:  # the first rows of the layer
+            swap(spark, fresh, path)
     finally:
         delete(spark, fresh)
     values = sorted(name.partition("=")[2] for name in names)

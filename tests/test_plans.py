@@ -63,3 +63,20 @@ def test_views_prune_to_their_date(spark, name):
     text = plan(q.QUERIES[name](spark, FOLDER))
     assert "PartitionFilters: [isnotnull(enrichment_date" in text or "PartitionFilters: [isnotnull(validation_date" in text
     assert q.validated_days(spark, FOLDER).select("validation_date").distinct().count() == 3
+
+
+@pytest.mark.parametrize(
+    "name", ["src_02_raw_by_date", "src_03_validated_by_date", "vw_06_stage_monitor", "dq_02_recent_stages",
+             "dq_08_stages_today", "dq_14_raw_check_dated"]
+)
+def test_daily_queries_push_their_dates_to_stored_layers(spark, name):
+    text = plan(q.QUERIES[name](spark, FOLDER))
+    scans = text.split("FileScan")[1:]
+    assert scans and all("GreaterThanOrEqual(" in scan and "daily-" in scan for scan in scans)
+    assert "Join" not in text
+
+
+def test_daily_views_read_stored_scores(spark):
+    text = plan(q.QUERIES["vw_01_data_quality_summary"](spark, FOLDER))
+    schema = text[text.index("ReadSchema"):]
+    assert "quality_score" in schema and "drug_name" not in schema and "Join" not in text
