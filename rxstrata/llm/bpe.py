@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 CHUNK_BYTES = 400_000  # bytes of pre-tokens one recursive query starts from
 LONG = 64  # pre-tokens above this many bytes merge equal pairs together
 STEPS = 64  # contractions per query for long pre-tokens, so that states stay bounded
-CACHE_WORDS = 600_000  # pre-tokens, and segments, that a process remembers
+CACHE_WORDS = 200_000  # pre-tokens, and segments, that a process remembers
 
 # Rows are (word, place, token); p packs word and place, key packs rank and place.
 # One step gives every pair its rank, finds each word's smallest key, which is the
