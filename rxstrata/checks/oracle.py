@@ -1073,6 +1073,23 @@ ORACLES["st_03_late_events"] = """with t as (select *, event_id % 4 as batch,
   select * from judged union all
   select event_id, topic, 'unknown topic' from t where topic = 'old-topic'"""
 
+ORACLES["st_10_streaming_tiers"] = over(
+    "batch",
+    """, snaps as (
+      select date '1996-01-01' as valid_from, quantile_disc(price_usd, [0.25, 0.5, 0.75]) as q
+      from batch where patient_count % 3 = 0 union all
+      select date '1998-06-15', quantile_disc(price_usd, [0.25, 0.5, 0.75])
+      from batch where patient_count % 5 = 0 union all
+      select date '2000-03-01', quantile_disc(price_usd, [0.25, 0.5, 0.75]) from batch),
+    picked as (select s.record_id, s.price_usd, max(n.valid_from) as valid_from
+      from scored s left join snaps n on n.valid_from <= cast(s.ingestion_timestamp as date)
+      group by s.record_id, s.price_usd)
+    select record_id, case when q is null then null when price_usd < q[1] then 'BUDGET'
+        when price_usd < q[2] then 'STANDARD' when price_usd < q[3] then 'PREMIUM' else 'LUXURY' end as price_tier,
+      strftime(p.valid_from, '%Y-%m-%d') as snapshot_from
+    from picked p left join snaps on snaps.valid_from = p.valid_from""",
+)
+
 # --- contract marts -------------------------------------------------------------
 
 BRONZE = f"""bronze as (select

@@ -40,7 +40,7 @@ from rxstrata.sinks import clustering
 from rxstrata.sinks import layers as sinks
 from rxstrata.sources import commerce, evolution, files, generator
 from rxstrata.sources.files import rows_on
-from rxstrata.streaming import accounting
+from rxstrata.streaming import accounting, snapshots
 from rxstrata.streaming import events as ev
 
 AS_OF = "2001-06-01"
@@ -1321,6 +1321,27 @@ def st_10_streaming_validation(spark, folder):
     )
 
 
+#: From when on the snapshot of each stored batch is valid, in the streamed records' time.
+SNAPSHOT_DATES = {"2001-05-30": "1996-01-01", "2001-05-31": "1998-06-15", AS_OF: "2000-03-01"}
+
+
+@query
+def st_10_streaming_tiers(spark, folder):
+    """Streamed records, tiered by the price quartiles that were known on their date."""
+    base = staging_path(spark, "tiered")
+    for day, valid_from in SNAPSHOT_DATES.items():
+        batch = en.enrichable(store(spark, folder).read("validated", day))
+        snapshots.save_snapshot(batch, f"{base}/snapshots", valid_from)
+    names = ("record_id", "price_usd", "validation_timestamp")
+    records = daily_validated(spark, folder).select(*names)
+    records.repartition(STREAM_FILES, "record_id").write.parquet(f"{base}/records")
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/records")
+    rows = snapshots.run_tiered(
+        stream, f"{base}/snapshots", f"{base}/out", f"{base}/checkpoint", "validation_timestamp"
+    )
+    return rows.select("record_id", "price_tier", "snapshot_from")
+
+
 # --- contract marts -------------------------------------------------------------
 
 

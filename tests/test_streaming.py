@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from helpers import DAY, raw_rows
 from rxstrata.operators.validation import validate
-from rxstrata.streaming import accounting
+from rxstrata.operators import enrichment
+from rxstrata.streaming import accounting, snapshots
 from rxstrata.streaming import events as ev
 
 START = dt.datetime(2024, 1, 1)
@@ -187,6 +188,44 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert [sorted(map(str, df.collect())) for df in accounted(spark, tmp_path, keeps)] == first
 
 
+def prices(spark, *values):
+    return spark.createDataFrame([(float(v),) for v in values], "price_usd double")
+
+
+def test_streamed_records_get_the_tier_of_their_date(spark, tmp_path):
+    """The newest snapshot not after the record's date; a repeated batch sees the old ones."""
+    known, schema = f"{tmp_path}/snapshots", "id int, price_usd double, at timestamp"
+
+    def records(*rows):
+        table = spark.createDataFrame([(i, float(p), d and dt.datetime(2001, 6, d)) for i, p, d in rows], schema)
+        table.coalesce(1).write.mode("append").parquet(f"{tmp_path}/records")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/records")
+        rows = snapshots.run_tiered(stream, known, f"{tmp_path}/out", f"{tmp_path}/ck", "at")
+        return {r.id: (r.price_tier, r.snapshot_from and r.snapshot_from.day) for r in rows.collect()}
+
+    records((1, 5, 9))
+    assert run() == {1: (None, None)}
+    snapshots.save_snapshot(prices(spark, *range(1, 101)), known, "2001-06-02")
+    snapshots.save_snapshot(prices(spark, *range(1, 11)), known, dt.date(2001, 6, 5))
+    records((2, 24, 2), (3, 25, 4), (4, 2, 5), (5, 60, 9), (6, 1, 1), (7, 1, None))
+    want = {1: (None, None), 2: ("BUDGET", 2), 3: ("STANDARD", 2), 4: ("BUDGET", 5), 5: ("LUXURY", 5), 6: (None, None), 7: (None, None)}
+    assert run() == want
+    snapshots.save_snapshot(prices(spark, 1000), known, "2001-06-09")
+    commits = sorted((tmp_path / "ck" / "commits").glob("[0-9]*"))
+    (tmp_path / "ck" / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    commits[-1].unlink()
+    assert run() == want
+    records((8, 60, 9))
+    assert run() == {**want, 8: ("BUDGET", 9)}
+    batch = validate(raw_rows(spark, *[{"price": float(p)} for p in range(1, 101)]), DAY)
+    tiers = enrichment.add_price_tier(batch, enrichment.price_quartiles(batch)).select("record_id", "price_tier")
+    snapshots.save_snapshot(batch, f"{tmp_path}/same", DAY)
+    streamed = snapshots.add_price_tier(batch, snapshots.snapshots(spark, f"{tmp_path}/same"), "validation_timestamp")
+    assert sorted(map(tuple, tiers.collect())) == sorted(map(tuple, streamed.select("record_id", "price_tier").collect()))
+
+
 def test_error_gauge_reads_json(spark, tmp_path, run):
     write(
         spark, tmp_path,
