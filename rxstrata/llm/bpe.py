@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 CHUNK_BYTES = 400_000  # bytes of pre-tokens one recursive query starts from
 LONG = 64  # pre-tokens above this many bytes merge equal pairs together
 STEPS = 64  # contractions per query for long pre-tokens, so that states stay bounded
-CACHE_WORDS = 200_000  # pre-tokens, and segments, that a process remembers
+CACHE_WORDS = 600_000  # pre-tokens, and segments, that a process remembers; some 200 bytes each
 
 # Rows are (word, place, token); p packs word and place, key packs rank and place.
 # One step gives every pair its rank, finds each word's smallest key, which is the
@@ -123,10 +123,11 @@ class Coder:
     and a word that one task has learnt is known to the next.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, remembered: int = CACHE_WORDS):
         import duckdb
         import regex
 
+        self.remembered = remembered
         ranks = read_ranks(path)
         self.split = regex.compile(pattern).findall
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
@@ -194,7 +195,7 @@ class Coder:
         split = [self.split(t) if t else [] for t in texts]
         needed = set(chain.from_iterable(split))
         new = needed.difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
+        if len(self.words) + len(new) > self.remembered:
             # what these texts use again stays, so common words are not learnt anew
             self.words = {w: self.words[w] for w in needed.difference(new)}
         self._learn(new)
@@ -236,7 +237,7 @@ class Coder:
             cut.append([data[a:b] for a, b in zip(edges, edges[1:])] if data else [])
         needed = set(chain.from_iterable(cut))
         new = list(needed.difference(self.segments))
-        if len(self.segments) + len(new) > CACHE_WORDS:
+        if len(self.segments) + len(new) > self.remembered:
             self.segments = {s: self.segments[s] for s in needed.difference(new)}
         for i in range(0, len(new), 50_000):
             self._spell(new[i : i + 50_000])
@@ -245,9 +246,9 @@ class Coder:
 
 
 @functools.cache
-def coder(path: str, pattern: str) -> Coder:
+def coder(path: str, pattern: str, remembered: int = CACHE_WORDS) -> Coder:
     """The coder of this process."""
-    return Coder(path, pattern)
+    return Coder(path, pattern, remembered)
 
 
 def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
@@ -308,15 +309,24 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    remembered: int = CACHE_WORDS,
+) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: every text encoded, its ids decoded.
 
     Both directions run in one pass, so the ids of the corpus never leave the task.
-    One row per input row, in any order; null and empty texts have no tokens.
+    One row per input row, in any order; null and empty texts have no tokens. Ids are not
+    looked at and may be null or repeated; an empty table gives no rows. A process
+    remembers up to ``remembered`` words, which changes time and memory and no result.
     """
 
     def run(batches):
-        of = coder(path, pattern)
+        of = coder(path, pattern, remembered)
         for batch in batches:
             for part in slices(batch, text_sizes(batch.column(1))):
                 ids = of.encode(part.column(1).to_pylist())
