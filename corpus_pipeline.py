@@ -13,6 +13,7 @@ from rxstrata.llm.queries import pattern, table, vocabulary
 from rxstrata.session import stage as written
 
 LEAST_QUALITY = 0.3
+WORDS_REMEMBERED = 150_000  # worker processes still hold what earlier stages left there
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and of what they decode to."""
-    return bpe.round_trip(docs, vocabulary(), pattern())
+    return bpe.round_trip(docs, vocabulary(), pattern(), remembered=WORDS_REMEMBERED)
 
 
 STAGES = [
