@@ -17,9 +17,15 @@ SEED = "mix-1"
 DRAWS = 2**52
 
 
-def draw(id_col: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from the seed and the id; a null id counts as empty."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit(""))))
+def draw(id_col: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the seed, the id and a digest of the text; nulls count as
+    empty. Rows without ids, or of one id, draw on their own as far as their texts differ."""
+    digest = F.md5(
+        F.concat(
+            F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"),
+            F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")),
+        ).cast("binary")
+    )
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(DRAWS))
 
 
@@ -82,14 +88,16 @@ def mix(
     A source's rate is its target over its size. Each document gets floor(rate)
     copies and one more when its draw falls below the fraction, so a document never
     exceeds ceil(ceiling) copies and reruns agree. ``size`` defaults to the words of
-    the text (null: 0). Rows with the same id draw alike; a null source is a source;
-    sources without words get target 0 and no copies. An empty table gives no rows.
+    the text (null: 0). Rows equal in id and text draw alike, so a source that is mostly
+    one repeated row can miss its target; ids may else be null or repeated. A null source
+    is a source; sources without words get target 0 and no copies. An empty table gives
+    no rows.
     """
     size = n_words(F.col(text_col)) if size is None else size
     sized = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
-        F.col(id_col).alias("_id"),
         F.col(source_col).alias("_source"),
+        draw(F.col(id_col), F.col(text_col), seed).alias("_draw"),
         size.alias("size"),
     )
     targets = source_targets(
@@ -105,9 +113,9 @@ def mix(
         .withColumn(
             "copies",
             F.col("_whole")
-            + (draw(F.col("_id"), seed) < F.col("_rate") - F.col("_whole")).cast("long"),
+            + (F.col("_draw") < F.col("_rate") - F.col("_whole")).cast("long"),
         )
-        .drop("_id", "_source", "_rate", "_whole")
+        .drop("_source", "_draw", "_rate", "_whole")
     )
 
 

@@ -56,7 +56,7 @@ FROM f
 
 OP10 = f"""
 WITH s AS (
-  SELECT doc_id, source, len({SPACED_WORDS})::BIGINT AS size FROM documents
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, len({SPACED_WORDS})::BIGINT AS size FROM documents
 ), t AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source
 ), w AS (
@@ -81,7 +81,7 @@ WITH s AS (
 ), d AS (
   SELECT s.doc_id, s.size, g.source_size, g.target,
          CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('mix-1:' || coalesce(s.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+         ('0x' || substr(md5('mix-1:' || coalesce(s.doc_id::VARCHAR, '') || ':' || s.digest), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
   FROM s JOIN g ON s.source IS NOT DISTINCT FROM g.source
 )
 SELECT doc_id, size, source_size, target,
@@ -250,8 +250,15 @@ def _license_rows() -> str:
     def text_list(words) -> str:
         return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
-    rows = []
+    # the base phrases are spelled out: a wrong one in the package shows as a difference
+    rows = [
+        "('mit', true, ['mit', 'license'], [0], [['mit', 'license']])",
+        "('apache', true, ['apache', 'license'], [0], [['apache', 'license']])",
+        "('gpl', true, ['general', 'public', 'license'], [0], [['general', 'public', 'license']])",
+    ]
     for t in TEMPLATES:
+        if t.base:
+            continue
         keys = t.mandatory()
         places = "[" + ", ".join(str(at) for at, _ in keys) + "]"
         phrases = "[" + ", ".join(text_list(p) for _, p in keys) + "]"

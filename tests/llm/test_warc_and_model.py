@@ -8,14 +8,17 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rxstrata.llm import classifier, mixing, warc
+import public_tokenizers
+from rxstrata.llm import bpe, classifier, warc
 from rxstrata.llm.queries import op8_quality_classifier, table
 from rxstrata.llm.storage import open_input
 
 from . import brute
+from .test_native import targets_by_rounds
 
 SMALL = "/root/testdata/sf0.001"
 BIG = "<p>Ünïcode</p>\r\n\r\nWARC/1.1\r\n" * 60
@@ -146,11 +149,26 @@ def test_pipeline_stages_against_brute_force(spark, documents):
             found = brute.join_components([(r.doc_id, r.text) for r in old])
             assert {r.doc_id for r in rows} == {r.doc_id for r, (n, c) in zip(old, found) if c == r.doc_id or not n}
         elif name == "mixing":
-            copies = {r._doc.doc_id: r.copies for r in mixing.mix(before).collect()}
+            sizes = Counter()
+            for r in old:
+                sizes[r.source] += len(brute.words(r.text))
+            targets, copies = targets_by_rounds(sizes), {}
+            for r in old:
+                rate = targets[r.source] / sizes[r.source] if sizes[r.source] else 0.0
+                text = hashlib.md5((r.text or "").encode()).hexdigest()
+                drawn = int(hashlib.md5(f"mix-1:{r.doc_id}:{text}".encode()).hexdigest()[:13], 16) / 2**52
+                copies[r.doc_id] = int(rate) + (drawn < rate - int(rate))
             assert Counter(r.doc_id for r in rows) == Counter({d: n for d, n in copies.items() if n})
         else:
             assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in old)
             texts = {r.doc_id: r.text for r in old}
+            plain = tiktoken.Encoding(
+                "plain", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                mergeable_ranks=bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+            )
             for r in rows:
+                ids = plain.encode_ordinary(texts[r.doc_id] or "")
+                listed = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+                assert (r.n_tokens, r.ids_sha256) == (len(ids), listed)
                 assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
     assert rows
