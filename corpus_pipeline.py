@@ -13,7 +13,7 @@ from rxstrata.llm.queries import pattern, table, vocabulary
 from rxstrata.session import stage as written
 
 LEAST_QUALITY = 0.3
-WORDS_REMEMBERED = 150_000  # worker processes still hold what earlier stages left there
+WORDS_REMEMBERED = 200_000  # worker processes still hold what earlier stages left there
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
