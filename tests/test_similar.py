@@ -39,6 +39,18 @@ def test_exact_search_equals_all_pairs(spark, window):
     assert found(got) == nearest(items, 5)
 
 
+def test_exact_search_keeps_few_pairs(spark):
+    """Of one class, only pairs within the reach of a point are numbered, and no nearest is lost."""
+    items = random_items(600, groups=("hot",), seed=3)
+    points = similar.stage(similar._points(spark.createDataFrame(items, SCHEMA), 5), "points")
+    places = similar.stage(similar._places(points, similar.shifts(5, 3), 1000), "places")
+    pairs = {(r.point, r.other) for r in similar._pairs_in_reach(points, places, 5, 32, 5).collect()}
+    assert 6 * 600 <= len(pairs) < 600 * 600 / 5
+    name = {r.point: r["items"][0] for r in points.collect()}
+    met = {(name[p], name[o]) for p, o in pairs}
+    assert all((i, o) in met for (_, i), others in nearest(items, 5).items() for o in others)
+
+
 def test_windows_find_most_of_the_nearest(spark):
     """One class of 3,000 items: recall of 0.95 and more."""
     items = random_items(3000, groups=("hot",))
