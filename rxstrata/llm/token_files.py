@@ -10,11 +10,9 @@ half of the content's xxhash64, then the number of frames, a flag byte and a mag
 from __future__ import annotations
 
 import functools
-import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rxstrata.llm import pieces
 from rxstrata.llm.bpe import slices, text_sizes
+from rxstrata.llm.pieces import laid_out, learnt
 from rxstrata.llm.storage import open_input, written_whole
 from rxstrata.session import stage, staging_path
 
@@ -53,15 +53,14 @@ class PieceEncoder:
     """Whole texts through the tokenizers library, each piece between spaces once.
 
     Byte-level pre-tokens never hold a space after something else than white space, so a
-    text may be cut before such a space and the parts encoded alone. Pieces that are new
-    are encoded together as one text of that kind. ``encoder`` keeps one per worker
-    process, so pieces that one task has learnt are known to the next.
+    text may be cut before such a space and the parts encoded alone. Equal pieces of a
+    batch are looked up once; new ones are encoded together as one text of that kind.
+    ``encoder`` keeps one per worker process, so pieces that one task has learnt are known
+    to the next.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        # white space before a space or at the end: such texts are encoded uncut
-        self.irregular = re.compile(r"\s |\s\Z").search
         table = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(table.values()) + 1, dtype=bool)
         self.opens[[i for token, i in table.items() if token.startswith("Ġ")]] = True
@@ -71,37 +70,31 @@ class PieceEncoder:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(found, dtype="<u4")
 
-    def _learn(self, pieces: Sequence[str]) -> None:
-        for i in range(0, len(pieces), 2000):
-            part = pieces[i : i + 2000]
-            ids = self._ids(" " + " ".join(part))
+    def _learn(self, new: list[str]) -> None:
+        spaced = [p for p in new if p[:1] == " "]
+        for i in range(0, len(spaced), 2000):
+            part = spaced[i : i + 2000]
+            ids = self._ids("".join(part))
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) == len(part):
                 raw, at = ids.tobytes(), (cuts * 4).tolist()
                 split = [raw[x:y] for x, y in zip(at, [*at[1:], len(raw)])]
             else:
-                split = [self._ids(f" {p}").tobytes() for p in part]
+                split = [self._ids(p).tobytes() for p in part]
             self.known.update(zip(part, split, strict=True))
+        self.known.update((p, self._ids(p).tobytes()) for p in new if p[:1] != " ")
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        pieces = [None if t and self.irregular(t) else (t or "").split(" ") for t in texts]
-        needed = set(chain.from_iterable(ps[1:] for ps in pieces if ps))
-        new = needed.difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
-            # what these texts use again stays, so common pieces are not learnt anew
-            self.known = {p: self.known[p] for p in needed.difference(new)}
-        self._learn(list(new))
-        known = self.known
-        out = []
-        for text, ps in zip(texts, pieces, strict=True):
-            if not text:
-                out.append(b"")
-            elif ps is None:
-                out.append(self._ids(text).tobytes())
-            else:
-                out.append(self._ids(ps[0]).tobytes() + b"".join(map(known.__getitem__, ps[1:])))
-        return out
+        cuts = [bool(t) and not pieces.irregular(t) for t in texts]
+        spaced, firsts, codes, edges = pieces.cut([t for t, c in zip(texts, cuts, strict=True) if c])
+        found = learnt(self.known, spaced + firsts, CACHE_PIECES, self._learn)
+        data, at = laid_out(found, codes)
+        rows = zip(at[edges[:-1]], at[edges[1:]])
+        return [
+            bytes(data[slice(*next(rows))]) if c else self._ids(t).tobytes() if t else b""
+            for t, c in zip(texts, cuts, strict=True)
+        ]
 
 
 @functools.cache

@@ -143,6 +143,29 @@ def test_pieces_encode_as_whole_texts(tokenizer):
         assert np.frombuffer(data, "<u4").tolist() == tokenizer(t or ""), repr(t)
 
 
+class Counted(dict):
+    """Counts how often an entry is asked for."""
+
+    asked = 0
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+    def get(self, key, *default):
+        self.asked += 1
+        return super().get(key, *default)
+
+
+def test_equal_pieces_of_a_batch_are_looked_up_once(tokenizer):
+    encoder = token_files.PieceEncoder(JSON)
+    encoder.known = Counted()
+    texts = [f"{i % 3} " + "one two, three\nfour " * 200 + "end" for i in range(30)]
+    got = encoder.encode(texts)
+    assert [np.frombuffer(d, "<u4").tolist() for d in got] == [tokenizer(t) for t in texts]
+    assert encoder.known.asked <= 2 * 9
+
+
 def test_token_files(spark, documents, tokenizer):
     rows = [(i * 2, t, "s") for i, t in enumerate(TEXTS)] + [(3, "third", "s"), (None, "no id", "s"), (4, "", "s")]
     docs = documents(*rows).repartition(3)
