@@ -8,7 +8,6 @@ import hashlib
 import os
 import tempfile
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rxstrata.llm import pieces
+from rxstrata.llm.pieces import laid_out, learnt, listed_values, sliced
+
 CHUNK_BYTES = 400_000  # bytes of pre-tokens one recursive query starts from
 LONG = 64  # pre-tokens above this many bytes merge equal pairs together
 STEPS = 64  # contractions per query for long pre-tokens, so that states stay bounded
@@ -130,6 +132,7 @@ class Coder:
         self.remembered = remembered
         ranks = read_ranks(path)
         self.split = regex.compile(pattern).findall
+        self.cuts = pattern == pieces.PATTERN
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         spill = os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": spill})
@@ -146,7 +149,7 @@ class Coder:
         self.starts = starts
         self.words: dict[str, bytes] = {}
         self.segments: dict[bytes, bytes] = {}
-        self.decimal = [str(i) for i in range(len(starts))]
+        self.decimal = pa.array([b"%d " % i for i in range(len(starts))], pa.large_binary())
 
     # encoding
 
@@ -190,37 +193,57 @@ class Coder:
                     part.append(word)
                     size += len(word.encode())
 
+    def _word_ids(self, words: list[str]) -> tuple[memoryview, np.ndarray]:
+        """The ids of the words in their order, and each word's edges among the bytes."""
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        found = learnt(self.words, listed_values(coded.dictionary), self.remembered, self._learn)
+        return laid_out(found, coded.indices.to_numpy())
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Token ids of each text; each match of the pattern is a word of its own."""
-        split = [self.split(t) if t else [] for t in texts]
-        needed = set(chain.from_iterable(split))
-        new = needed.difference(self.words)
-        if len(self.words) + len(new) > self.remembered:
-            # what these texts use again stays, so common words are not learnt anew
-            self.words = {w: self.words[w] for w in needed.difference(new)}
-        self._learn(new)
-        known = self.words
-        return [
-            np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<i4") for words in split
-        ]
+        cuts = [bool(t) and self.cuts and not pieces.irregular(t) for t in texts]
+        spaced, firsts, codes, edges = pieces.cut([t for t, c in zip(texts, cuts, strict=True) if c])
+        uncut = [t or "" for t, c in zip(texts, cuts, strict=True) if not c]
+        words = self.split("".join(spaced)) if spaced else []
+        # the words of spaced pieces that begin with a space are the first ones of theirs
+        at = [np.flatnonzero([w[0] == " " for w in words])]
+        for text in (*firsts, *uncut):
+            at.append([len(words)])
+            words += self.split(text)
+        at = np.concatenate([*at, [len(words)]]).astype(np.int64)
+        data, places = self._word_ids(words)
+        places = places[at]
+        whole = len(spaced) + len(firsts)
+        data_cut, places_cut = laid_out(sliced(data, places[: whole + 1]), codes)
+        ids_cut, ids = (np.frombuffer(d, dtype="<i4") for d in (data_cut, data))
+        rows_cut = zip(places_cut[edges[:-1]] // 4, places_cut[edges[1:]] // 4)
+        rows = zip(places[whole:-1] // 4, places[whole + 1 :] // 4)
+        return [ids_cut[slice(*next(rows_cut))] if c else ids[slice(*next(rows))] for c in cuts]
+
+    def listed(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The ids of each sequence as decimals joined by one space."""
+        ends = np.cumsum([0, *map(len, ids)])
+        data, at = laid_out(self.decimal, np.concatenate([*ids, []]).astype(np.int64))
+        return [bytes(data[a : max(a, b - 1)]) for a, b in zip(at[ends[:-1]], at[ends[1:]])]
 
     # decoding
 
-    def _spell(self, segments: list[bytes]) -> None:
-        ids = [np.frombuffer(s, dtype="<i4") for s in segments]
-        lengths = np.array([len(i) for i in ids])
-        self.db.register(
-            "tokens",
-            pa.table(
-                {
-                    "segment": np.repeat(np.arange(len(ids)), lengths),
-                    "place": np.arange(lengths.sum()),
-                    "tok": np.concatenate(ids),
-                }
-            ),
-        )
-        found = self.db.sql(DECODE).to_arrow_table()["bytes"].to_pylist()
-        self.segments.update(zip(segments, found, strict=True))
+    def _spell(self, new: list[bytes]) -> None:
+        for i in range(0, len(new), 50_000):
+            segments = new[i : i + 50_000]
+            lengths = np.array([*map(len, segments)]) // 4
+            self.db.register(
+                "tokens",
+                pa.table(
+                    {
+                        "segment": np.repeat(np.arange(len(segments)), lengths),
+                        "place": np.arange(lengths.sum()),
+                        "tok": np.frombuffer(b"".join(segments), dtype="<i4"),
+                    }
+                ),
+            )
+            found = self.db.sql(DECODE).to_arrow_table()["bytes"].to_pylist()
+            self.segments.update(zip(segments, found, strict=True))
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each id sequence.
@@ -228,21 +251,16 @@ class Coder:
         Sequences are cut before tokens that begin with a space or a line end; equal
         segments are spelled once, their tokens aggregated in order.
         """
-        cut = []
-        for seq in ids:
-            raw = np.ascontiguousarray(seq, dtype="<i4")
-            at = np.flatnonzero(self.starts[raw]) * 4
-            edges = [0, *at[at > 0].tolist(), len(raw) * 4]
-            data = raw.tobytes()
-            cut.append([data[a:b] for a, b in zip(edges, edges[1:])] if data else [])
-        needed = set(chain.from_iterable(cut))
-        new = list(needed.difference(self.segments))
-        if len(self.segments) + len(new) > self.remembered:
-            self.segments = {s: self.segments[s] for s in needed.difference(new)}
-        for i in range(0, len(new), 50_000):
-            self._spell(new[i : i + 50_000])
-        known = self.segments
-        return [b"".join(map(known.__getitem__, segments)) for segments in cut]
+        ends = np.cumsum([0, *map(len, ids)])
+        flat = np.concatenate([*ids, []]).astype("<i4")
+        begins = self.starts[flat]
+        begins[ends[:-1][ends[:-1] < len(flat)]] = True
+        at = np.append(np.flatnonzero(begins), len(flat))
+        coded = sliced(flat.tobytes(), at * 4).dictionary_encode()
+        found = learnt(self.segments, listed_values(coded.dictionary), self.remembered, self._spell)
+        data, places = laid_out(found, coded.indices.to_numpy())
+        places = places[np.searchsorted(at, ends)]
+        return [bytes(data[a:b]) for a, b in zip(places, places[1:])]
 
 
 @functools.cache
@@ -331,12 +349,11 @@ def round_trip(
             for part in slices(batch, text_sizes(batch.column(1))):
                 ids = of.encode(part.column(1).to_pylist())
                 spelled = of.decode(ids)
-                listed = (" ".join(map(of.decimal.__getitem__, i.tolist())) for i in ids)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array([len(i) for i in ids], pa.int64()),
-                        pa.array([hashlib.sha256(s.encode()).hexdigest() for s in listed], pa.string()),
+                        pa.array([hashlib.sha256(s).hexdigest() for s in of.listed(ids)], pa.string()),
                         pa.array([hashlib.sha256(b).hexdigest() for b in spelled], pa.string()),
                     ],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

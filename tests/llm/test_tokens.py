@@ -166,6 +166,35 @@ def test_equal_pieces_of_a_batch_are_looked_up_once(tokenizer):
     assert encoder.known.asked <= 2 * 9
 
 
+def test_equal_pieces_of_a_batch_are_split_once(reference):
+    coder, seen = bpe.Coder(RANKS, PATTERN), []
+    split, coder.words, coder.segments = coder.split, Counted(), Counted()
+    coder.split = lambda text: seen.append(len(text)) or split(text)
+    texts = [f"{i % 3} " + "one two, three\nfour " * 200 + "end" for i in range(30)] + [None, "", "uncut  one ", " x", "x"]
+    ids = coder.encode(texts)
+    assert [i.tolist() for i in ids] == [reference(t or "") for t in texts]
+    assert sum(seen) < 100 and coder.words.asked < 50
+    assert coder.decode(ids) == [(t or "").encode() for t in texts] and coder.segments.asked < 50
+    assert coder.listed(ids) == [" ".join(map(str, reference(t or ""))).encode() for t in texts]
+
+
+def test_other_patterns_do_not_cut_at_spaces():
+    pattern = r"\S+ \S+|\s+|\S+"
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    texts = ["one two three", "a b", "", "x"]
+    ids = bpe.Coder(RANKS, pattern).encode(texts)
+    assert [i.tolist() for i in ids] == [enc.encode_ordinary(t) for t in texts]
+
+
+def test_what_is_remembered_changes_no_result(reference):
+    coder = bpe.Coder(RANKS, PATTERN, remembered=5)
+    for texts in (["one two three four five"], ["one six seven"], ["eight one two\nnine", "ten one"], []):
+        ids = coder.encode(texts)
+        assert [i.tolist() for i in ids] == [reference(t) for t in texts]
+        assert coder.decode(ids) == [t.encode() for t in texts]
+        assert len(coder.words) <= 10
+
+
 def test_token_files(spark, documents, tokenizer):
     rows = [(i * 2, t, "s") for i, t in enumerate(TEXTS)] + [(3, "third", "s"), (None, "no id", "s"), (4, "", "s")]
     docs = documents(*rows).repartition(3)
