@@ -63,9 +63,10 @@ def laid_out(table: pa.Array | Sequence[bytes], codes: np.ndarray) -> tuple[memo
     if not isinstance(table, pa.Array):
         table = pa.array(table, pa.large_binary())
     taken = table.take(pa.array(codes, pa.int64()))
+    if not len(taken):
+        return memoryview(b""), np.zeros(1, np.int64)
     _, edges, data = taken.buffers()
-    edges = np.frombuffer(edges, np.int64)[taken.offset : taken.offset + len(codes) + 1] if len(codes) else np.zeros(1, np.int64)
-    return memoryview(data or b""), edges
+    return memoryview(data or b""), np.frombuffer(edges, np.int64)[taken.offset :][: len(taken) + 1]
 
 
 def sliced(data: memoryview | bytes, edges: np.ndarray) -> pa.Array:
