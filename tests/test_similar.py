@@ -99,3 +99,32 @@ def test_drugs_of_a_batch(spark):
     assert {tuple(r.similar_drugs) for r in rows.where(F.col("drug_code") == "D3").collect()} == {("D2", "D1")}
     assert {len(r.similar_drugs) for r in rows.where("drug_code is null or drug_code = 'D9'").collect()} == {0}
     assert {len(r.similar_drugs) for r in enrichment.enrich(batch, "2001-06-01").collect()} == {0}
+
+
+def test_reach_comes_from_runs_without_sorting_their_pairs(spark):
+    points = similar.stage(similar._points(spark.createDataFrame(random_items(100, groups=("a", "b"), seed=4), SCHEMA), 5), "points")
+    places = similar.stage(similar._places(points, similar.shifts(5, 2), 1000), "places")
+    reached = similar._reached(points, places, 5, 16, 5)
+    assert "Window" not in reached._jdf.queryExecution().executedPlan().toString()
+    vectors, runs = {r.point: r.v for r in points.collect()}, {}
+    for r in places.collect():
+        runs.setdefault((r.way, r.group, r.place // 16), []).append(r.point)
+    want = {}
+    for members in runs.values():
+        for p in members:
+            apart = sorted(sum((x - y) ** 2 for x, y in zip(vectors[p], vectors[o])) for o in members)
+            want.setdefault(p, []).extend(apart[5:6])
+    assert {r.point: r.reach for r in reached.collect()} == {p: min(found, default=None) for p, found in want.items()}
+    assert {r.reach for r in similar._reached(points, places, 5, 4, 5).collect()} == {None}
+
+
+@pytest.mark.parametrize("width, steps", [(5, 1000), (2, 7), (3, 100_000), (9, 1000), (20, 1), (60, 1)])
+def test_a_curve_takes_the_bits_in_turn(spark, width, steps):
+    rng = random.Random(width)
+    vectors, shift = [[rng.randrange(steps + 1) for _ in range(width)] for _ in range(20)], similar.shifts(width, 1, steps)[0]
+    size = (2 * steps).bit_length()
+    kept = max(1, min(size, similar.CURVE_BITS // width))
+    df = spark.createDataFrame([(v,) for v in vectors], "v array<long>").select(similar.curve("v", shift, steps).alias("at"))
+    bits = [[f"{x + s:0{size}b}"[:kept] for x, s in zip(v, shift)] for v in vectors]
+    places = [int("".join("".join(b) for b in zip(*of)), 2) for of in bits]
+    assert [r["at"] % 2**64 for r in df.collect()] == [p % 2**64 for p in places]
